@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Smoothing constant and the divisors of the three measures.
 EPS = 1e-6
@@ -100,7 +100,7 @@ def chi2_tail(x: float, df: float) -> float:
             return min(1.0, max(0.0, front * out))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_p_value(statistic: pd.Series, df: pd.Series) -> pd.Series:
     """Upper tail per row; used on one row per feature only."""
     return pd.Series(
