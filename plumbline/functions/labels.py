@@ -30,7 +30,7 @@ def status_text(flag: Column, yes: str = "⚠️ Yes", no: str = "✅ No") -> Co
 
 def fixed_format(value: Column, digits: int = 4) -> Column:
     """Fixed decimals, ``N/A`` when missing."""
-    return F.coalesce(F.format_string(f"%.{digits}f", value), F.lit("N/A"))
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", value)).otherwise("N/A")
 
 
 def pretty_name(name: Column) -> Column:

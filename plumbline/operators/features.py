@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from math import isnan
 
+import numpy as np
 import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
@@ -167,11 +168,22 @@ def hashed_slots(tokens: list[Column], slots: int = HASH_SLOTS) -> tuple[Column,
 
 
 def _sparse(size: int):
-    """Wraps index and value arrays as sparse vectors, a batch at a time."""
+    """Sums each row's signs per slot into a sparse vector, a batch at a time."""
 
     @F.pandas_udf(VectorUDT())
-    def build(index: pd.Series, values: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"type": 0, "size": size, "indices": index, "values": values})
+    def build(slots: pd.Series, signs: pd.Series) -> pd.DataFrame:
+        if slots.empty:
+            return pd.DataFrame({"type": [], "size": [], "indices": [], "values": []})
+        slot, sign = np.stack(slots), np.stack(signs)
+        order = slot.argsort(axis=1, kind="stable")
+        slot, sign = np.take_along_axis(slot, order, 1), np.take_along_axis(sign, order, 1)
+        first = np.ones(slot.shape, dtype=bool)
+        first[:, 1:] = slot[:, 1:] != slot[:, :-1]
+        sums = np.bincount(first.ravel().cumsum() - 1, weights=sign.ravel())
+        ends = first.sum(axis=1).cumsum()[:-1]
+        return pd.DataFrame(
+            {"type": 0, "size": size, "indices": np.split(slot[first], ends), "values": np.split(sums, ends)}
+        )
 
     return build
 
@@ -189,8 +201,13 @@ class TextHasher(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable,
 
     def _transform(self, df: DataFrame) -> DataFrame:
         slots = self.getOrDefault(self.numFeatures)
-        index, values = hashed_slots([F.col(c) for c in self.getInputCols()], slots)
-        return df.withColumn(self.getOutputCol(), _sparse(slots)(index, values))
+        tokens = [as_text(F.col(f"`{c}`")) for c in self.getInputCols()]
+        vector = _sparse(slots)(
+            F.array(*[hash_slot(t, slots) for t in tokens]), F.array(*[hash_sign(t) for t in tokens])
+        )
+        # The declared width spares the assembler a look at the data.
+        width = {"ml_attr": {"num_attrs": slots}}
+        return df.select("*", vector.alias(self.getOutputCol(), metadata=width))
 
 
 # --- fitted numeric and text preparation ------------------------------------

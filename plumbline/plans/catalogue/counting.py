@@ -131,13 +131,13 @@ def null_filters(spark, sf_dir):
 
 
 def _numeric_profile_sql(column: str, missing: str) -> str:
-    return f"""SELECT '{column}' AS feature, 'numerical' AS type, count(x) AS n, round(avg(x), 6) AS mean,
-      round(stddev_samp(x), 6) AS std, round(median(x), 6) AS median, min(x) AS min, max(x) AS max,
-      round(quantile_cont(x, 0.25), 6) AS q25, round(quantile_cont(x, 0.75), 6) AS q75,
-      round(quantile_cont(x, 0.75) - quantile_cont(x, 0.25), 6) AS iqr,
-      round(avg((x - m) * (x - m) * (x - m)) / pow(stddev_pop(x), 3), 6) + 0.0 AS skewness,
-      round(kurtosis_pop(x), 6) AS kurtosis, count(*) - count(x) AS missing_count,
-      round((count(*) - count(x)) / count(*), 6) AS missing_pct
+    return f"""SELECT '{column}' AS feature, 'numerical' AS type, count(x) AS n, round(avg(x), 7) AS mean,
+      round(stddev_samp(x), 7) AS std, round(median(x), 7) AS median, min(x) AS min, max(x) AS max,
+      round(quantile_cont(x, 0.25), 7) AS q25, round(quantile_cont(x, 0.75), 7) AS q75,
+      round(quantile_cont(x, 0.75) - quantile_cont(x, 0.25), 7) AS iqr,
+      round(avg((x - m) * (x - m) * (x - m)) / pow(stddev_pop(x), 3), 7) + 0.0 AS skewness,
+      round(kurtosis_pop(x), 7) AS kurtosis, count(*) - count(x) AS missing_count,
+      round((count(*) - count(x)) / count(*), 7) AS missing_pct
     FROM (SELECT x, avg(x) OVER () AS m FROM (SELECT {missing} AS x FROM lineitem))"""
 
 
@@ -154,7 +154,7 @@ def _gappy_lines(spark, sf_dir):
     ),
 )
 def numeric_profile(spark, sf_dir):
-    return tidy(P.numeric_profile(_gappy_lines(spark, sf_dir), LINE_NUMBERS))
+    return tidy(P.numeric_profile(_gappy_lines(spark, sf_dir), LINE_NUMBERS), 7)
 
 
 def _categorical_profile_sql(column: str, expr: str) -> str:
