@@ -31,6 +31,26 @@ HASH_SLOTS = 2**14
 # --- targets ---------------------------------------------------------------
 
 
+def class_code_of(x: Column, edges: list[Column], strict: bool = True) -> Column:
+    """Number of the right-closed interval between the edges; null for null.
+
+    Equal edges raise in strict mode, else they collapse into one.
+    """
+    code = F.lit(0)
+    distinct = F.lit(True)
+    for low, high in zip(edges, edges[1:]):
+        distinct = distinct & (high > low)
+    for low, edge in zip(edges, edges[1:-1]):
+        code = code + ((x > edge) & (edge > low)).cast("int")
+    if strict:
+        code = F.when(distinct, code).otherwise(F.raise_error(F.lit("quantile edges must be unique")).cast("int"))
+    return F.when(x.isNotNull(), code)
+
+
+def _number(column: str) -> Column:
+    return drop_nan(F.col(f"`{column}`").cast("double"))
+
+
 def quantile_target(
     df: DataFrame,
     column: str,
@@ -38,33 +58,29 @@ def quantile_target(
     quantiles: tuple = TARGET_QUANTILES,
     strict: bool = True,
 ) -> DataFrame:
-    """Adds the class code of the quantile interval; right-closed, lowest included.
-
-    Equal edges raise in strict mode, else they collapse into one.
-    """
+    """Adds the class code of the quantile interval, lowest value included."""
     edges = one_row(exact_quantiles(numeric_long(df, [column]), "value", list(quantiles)).drop("n"))
-    inner = range(1, len(quantiles) - 1)
-
-    def edge(i: int) -> Column:
-        return F.col(f"_edges.q{i}")
-
-    x = drop_nan(F.col(f"`{column}`").cast("double"))
-    code = sum(
-        (((x > edge(i)) & (edge(i) > edge(i - 1))).cast("int") for i in inner), F.lit(0)
-    )
-    if strict:
-        last = len(quantiles) - 1
-        distinct = F.lit(True)
-        for i in range(1, last + 1):
-            distinct = distinct & (edge(i) > edge(i - 1))
-        code = F.when(distinct, code).otherwise(F.raise_error(F.lit("quantile edges must be unique")).cast("int"))
+    ends = [F.col(f"_edges.q{i}") for i in range(len(quantiles))]
     return (
         df.withColumn("_edges", edges)
-        .withColumn(output, F.when(x.isNotNull(), code))
+        .withColumn(output, class_code_of(_number(column), ends, strict))
         .drop("_edges")
     )
 
 
+def fit_quantile_edges(df: DataFrame, column: str, quantiles: tuple = TARGET_QUANTILES) -> list[float]:
+    """The edges as numbers, for a target that several jobs will use."""
+    row = exact_quantiles(numeric_long(df, [column]), "value", list(quantiles)).drop("n").first()
+    return [] if row is None or row[0] is None else list(row)
+
+
+def assign_classes(df: DataFrame, column: str, output: str, edges: list[float], strict: bool = True) -> DataFrame:
+    """Adds the class code for fitted edges."""
+    if not edges:
+        return df.withColumn(output, F.lit(None).cast("int"))
+    return df.withColumn(output, class_code_of(_number(column), [F.lit(e) for e in edges], strict))
+
+
 # --- splits ----------------------------------------------------------------
 
 

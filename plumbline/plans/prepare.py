@@ -8,7 +8,16 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.functions.cleaning import add_crosses, clean_listings, price
-from plumbline.operators.features import HASH_SLOTS, SEED, TEST_SHARE, feature_pipeline, quantile_target, stratified_split
+from plumbline.operators.features import (
+    HASH_SLOTS,
+    SEED,
+    TEST_SHARE,
+    assign_classes,
+    feature_pipeline,
+    fit_quantile_edges,
+    quantile_target,
+    stratified_split,
+)
 from plumbline.schemas import ALL_FEATURES, TARGET
 from plumbline.sources.artifacts import save_model
 from plumbline.sources.tables import read_table, write_snapshot
@@ -34,13 +43,17 @@ class Prepared:
         return f"{self.folder}/test"
 
 
+def clean_priced(raw: DataFrame) -> DataFrame:
+    """Cleaned listings with crosses and a numeric price, one projection."""
+    return add_crosses(clean_listings(raw)).withColumn("price", price(F.col("price")))
+
+
 def label_listings(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Cleaned listings with crosses and the price class instead of the price.
+    """Cleaned listings with the price class instead of the price.
 
     The class boundaries come from all rows, before any split.
     """
-    df = add_crosses(clean_listings(raw)).withColumn("price", price(F.col("price")))
-    return quantile_target(df, "price", TARGET, strict=strict).drop("price")
+    return quantile_target(clean_priced(raw), "price", TARGET, strict=strict).drop("price")
 
 
 def prepare(
@@ -54,17 +67,18 @@ def prepare(
 ) -> Prepared:
     """Clean, cross, label, snapshot, split, fit on train, transform, write.
 
-    ``key`` identifies a raw row. The labelled table is written once as the
-    snapshot together with its split flag and read back, so the cleaning work
-    is not repeated for the fit and the two outputs.
+    ``key`` identifies a raw row. The raw text is parsed once: the cleaned table
+    is written, and the boundaries, the split, the fit and the outputs all read
+    the few columns they need from it.
     """
     spark = raw.sparkSession
-    labelled = label_listings(raw).where(F.col(TARGET).isNotNull())
-    staged = f"{folder}/staged"
-    stratified_split(labelled, key, TARGET, test_share, seed).write.mode("overwrite").parquet(staged)
-    rows = read_table(spark, staged)
+    clean_priced(raw).write.mode("overwrite").parquet(f"{folder}/cleaned")
+    cleaned = read_table(spark, f"{folder}/cleaned")
+    edges = fit_quantile_edges(cleaned, "price")
+    labelled = assign_classes(cleaned, "price", TARGET, edges).drop("price").where(F.col(TARGET).isNotNull())
+    rows = stratified_split(labelled, key, TARGET, test_share, seed)
     result = Prepared(folder, None)
-    write_snapshot(rows, result.snapshot, snapshot_columns or [*ALL_FEATURES, TARGET])
+    write_snapshot(labelled, result.snapshot, snapshot_columns or [*ALL_FEATURES, TARGET])
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
     result.transforms = feature_pipeline(slots=slots).fit(train)
     save_model(result.transforms, f"{folder}/transforms")

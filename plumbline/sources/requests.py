@@ -34,7 +34,10 @@ def check_requests(
     typed = {f: raw[f].try_cast("double") if f in numbers else raw[f].cast("string") for f in fields}
     reasons = F.filter(F.array(*[reason(f, typed[f]) for f in fields]), lambda r: r.isNotNull())
     kept = [F.col(f"`{c}`") for c in df.columns if c not in fields and c != "_body"]
-    return df.select(*kept, *[typed[f].alias(f) for f in fields], reasons.alias("reasons"))
+    # One generated row per request: the fields are parsed once, and a filter on
+    # them is not rewritten into copies of the parsing expressions.
+    parsed = F.struct(*[typed[f].alias(f) for f in fields], reasons.alias("reasons"))
+    return df.select(*kept, F.inline(F.array(parsed)))
 
 
 def valid_requests(checked: DataFrame) -> DataFrame:

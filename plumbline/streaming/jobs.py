@@ -49,7 +49,14 @@ def write_updates(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (then(batch) if then else batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        target = f"{path}/batch_id={batch_id}"
+        if then is None:
+            batch.write.mode("overwrite").parquet(target)
+            return
+        # ``then`` may read the batch several times; compute it once.
+        batch.persist()
+        then(batch).write.mode("overwrite").parquet(target)
+        batch.unpersist()
 
     return (
         result.writeStream.outputMode(mode)
