@@ -66,11 +66,11 @@ def chi2_tail(x: float, df: float) -> float:
     """Upper tail of the chi-square distribution, P(X > x)."""
     if x is None or df is None or math.isnan(x) or math.isnan(df) or df < 1:
         return float("nan")
-    if x <= 0:
+    a, h = df / 2.0, x / 2.0
+    if h <= 0:
         return 1.0
     if math.isinf(x):
         return 0.0
-    a, h = df / 2.0, x / 2.0
     front = math.exp(a * math.log(h) - h - math.lgamma(a))
     if h < a + 1:
         # Power series of the lower tail.

@@ -17,11 +17,23 @@ def tagged_numbers(ref: DataFrame, prod: DataFrame, columns: list[str]) -> DataF
     return numeric_long(ref, columns, "ref").unionByName(numeric_long(prod, columns, "prod"))
 
 
+def _with_shares(counts: DataFrame) -> DataFrame:
+    """Aligned counts as shares ``e`` (reference) and ``a`` (production).
+
+    Both are null when either side is empty, so that the sums come out as 0.
+    """
+    total = one_row(counts.agg(F.sum("n_ref").alias("ref"), F.sum("n_prod").alias("prod")))
+    both = (F.col("t.ref") > 0) & (F.col("t.prod") > 0)
+    return counts.withColumn("t", total).select(
+        F.when(both, share(F.col("n_ref"), F.col("t.ref"))).alias("e"),
+        F.when(both, share(F.col("n_prod"), F.col("t.prod"))).alias("a"),
+    )
+
+
 def psi_of_counts(counts: DataFrame, scale: float = terms.CATEGORICAL_SCALE) -> DataFrame:
     """``psi`` of one column's aligned counts, one row; 0 if a side is empty."""
-    total = one_row(counts.agg(F.sum("n_ref").alias("ref"), F.sum("n_prod").alias("prod")))
-    term = terms.psi_term(share(F.col("n_ref"), total["ref"]), share(F.col("n_prod"), total["prod"]))
-    return counts.agg(terms.scaled_sum(term, scale).alias("psi"))
+    term = terms.psi_term(F.col("e"), F.col("a"))
+    return _with_shares(counts).where("e is not null").agg(terms.scaled_sum(term, scale).alias("psi"))
 
 
 def categorical_psi(
@@ -58,11 +70,9 @@ def numerical_psi(
 
 
 def kl_of_counts(counts: DataFrame, scale: float = terms.KL_SCALE) -> DataFrame:
-    counts = counts.where("value is not null")
-    total = one_row(counts.agg(F.sum("n_ref").alias("ref"), F.sum("n_prod").alias("prod")))
-    q, p = share(F.col("n_ref"), total["ref"]), share(F.col("n_prod"), total["prod"])
-    both = (total["ref"] > 0) & (total["prod"] > 0)
-    return counts.agg(terms.scaled_sum(F.when(both, terms.kl_term(q, p)), scale).alias("kl"))
+    """``kl`` of aligned class counts, one row; 0 if a side is empty."""
+    shares = _with_shares(counts.where("value is not null")).where("e is not null")
+    return shares.agg(terms.scaled_sum(terms.kl_term(F.col("e"), F.col("a")), scale).alias("kl"))
 
 
 def prediction_kl(

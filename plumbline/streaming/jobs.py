@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.functions import terms
@@ -89,7 +89,7 @@ def window_drift(
 ) -> DataFrame:
     """``start, n, psi, kl`` per window against the reference.
 
-    A reference value absent from a window still contributes to its PSI. Those
+    Both are 0 against an empty reference. A reference value absent from a window still contributes to its PSI. Those
     terms are summed once over the whole reference, and each window corrects
     the total for the values it does have, so windows are never multiplied by
     values.
@@ -111,10 +111,15 @@ def window_drift(
         )
     )
     e, a = F.col("e"), F.col("a")
-    psi = F.sum(terms.psi_term(e, a) - terms.psi_term(e, zero)) + F.coalesce(absent, zero)
-    return joined.groupBy("start", F.col("n_window").alias("n")).agg(
-        (F.greatest(zero, psi) / F.lit(psi_scale)).alias("psi"),
-        terms.scaled_sum(terms.kl_term(e, a), kl_scale).alias("kl"),
+    sums = joined.groupBy("start", F.col("n_window").alias("n")).agg(
+        F.sum(terms.psi_term(e, a) - terms.psi_term(e, zero)).alias("psi"), F.sum(terms.kl_term(e, a)).alias("kl")
+    )
+
+    def scaled(value: Column, scale: float) -> Column:
+        return F.when(ref_total > 0, F.greatest(zero, value)).otherwise(zero) / F.lit(scale)
+
+    return sums.select(
+        "start", "n", scaled(F.col("psi") + absent, psi_scale).alias("psi"), scaled(F.col("kl"), kl_scale).alias("kl")
     )
 
 
