@@ -31,6 +31,7 @@ from plumbline.session import one_row
 class MonitorConfig:
     """Columns, thresholds and divisors of the monitor."""
 
+    # The default columns, thresholds and alert limits.
     category: str = "district"
     high_cardinality: str = "address"
     targets: tuple[str, ...] = ("price_category", "target")

@@ -118,9 +118,11 @@ def order_statistics(
         .where("cell >= 0 and r1 >= before and r0 < before + cell_rows")
         .select(*group, "cell", "before")
     )
+    # Null-safe on the cell as well: a plain equality would push ``cell >= 0`` below
+    # the counts, and the two uses of the counts would no longer share one shuffle.
     found = counts.alias("c").join(
         (F.broadcast(hit) if bounded else hit).alias("h"),
-        reduce(Column.__and__, _match("c", "h", group), F.col("c.cell") == F.col("h.cell")),
+        reduce(Column.__and__, _match("c", "h", [*group, "cell"])),
     )
     found = found.select(*[f"c.{c}" for c in [*facts, "cell", "v", "c"]], "h.before")
     inside = Window.partitionBy(*group, "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)

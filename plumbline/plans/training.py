@@ -15,8 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.operators.features import SEED, add_class_weights
-from plumbline.sources.artifacts import save_model
-from plumbline.sources.tables import path_exists
+from plumbline.sources.artifacts import load_saved, save_model
 
 # Iterations, trees, trees per block.
 ITERATIONS = 1000
@@ -97,18 +96,17 @@ def train_forest_blocks(
     A later call continues after the last saved block. Saved blocks for another
     number of features are not used: training starts over.
     """
-    spark = train.sparkSession
     weighted = add_class_weights(train, "label", power=2)
     width = _feature_count(train)
     models: list[RandomForestClassificationModel] = []
     for i in range(-(-trees // block)):
         path = f"{folder}/block-{i:04d}"
-        if resume and path_exists(spark, f"{path}/metadata"):
-            saved = RandomForestClassificationModel.load(path)
-            if saved.numFeatures == width:
-                models.append(saved)
-                continue
-            resume = False
+        saved = load_saved(path, RandomForestClassificationModel.load) if resume else None
+        if saved is not None and saved.numFeatures == width:
+            models.append(saved)
+            continue
+        # Blocks after a missing or unusable one are grown anew.
+        resume = False
         size = min(block, trees - i * block)
         models.append(_forest(size, seed + i, max_depth).fit(weighted))
         save_model(models[-1], path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names of the listing tables.
 NUMERIC_FEATURES = ["GrossSquareMeters", "NetSquareMeters", "BuildingAge", "NumberOfRooms"]
 LOW_CARD_FEATURES = ["district", "HeatingType", "StructureType", "FloorLocation"]
 HIGH_CARD_FEATURES = ["address", "AdCreationDate", "Subscription", "district_heating", "district_floor"]

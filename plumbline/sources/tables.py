@@ -17,21 +17,20 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def try_read(spark: SparkSession, path: str, merge: bool = False) -> DataFrame | None:
+    """The table at ``path``, or None if there is none or it has no files yet."""
     try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return spark.read.option("mergeSchema", merge).parquet(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
         raise
-    return True
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, merge: bool = False) -> DataFrame:
     """The table at ``path``, or an empty one of the declared schema if it is missing."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.option("mergeSchema", merge).parquet(path)
+    found = try_read(spark, path, merge)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def with_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
@@ -48,14 +47,14 @@ def source_status(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
     """``source, status, rows`` for each named path; rows is null where it is missing."""
     out = None
     for name, path in sources.items():
-        there = path_exists(spark, path)
-        if there:
-            rows = read_table(spark, path).agg(F.count("*").alias("rows"))
-        else:
+        found = try_read(spark, path)
+        if found is None:
             rows = spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
+        else:
+            rows = found.agg(F.count("*").alias("rows"))
         line = rows.select(
             F.lit(name).alias("source"),
-            F.lit("✅ Available" if there else "❌ Missing").alias("status"),
+            F.lit("❌ Missing" if found is None else "✅ Available").alias("status"),
             "rows",
         )
         out = line if out is None else out.unionAll(line)
