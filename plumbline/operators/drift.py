@@ -51,9 +51,14 @@ def categorical_psi(
     return psi_of_counts(counts.where("value is not null") if dropna else counts, scale)
 
 
-def numerical_psi_by_feature(tagged: DataFrame, bins: int = BINS, scale: float = terms.NUMERICAL_SCALE) -> DataFrame:
+def numerical_psi_by_feature(
+    tagged: DataFrame,
+    bins: int = BINS,
+    scale: float = terms.NUMERICAL_SCALE,
+    ends: DataFrame | None = None,
+) -> DataFrame:
     """``feature, psi`` over bins whose edges come from the reference only."""
-    shares = bin_counts(tagged, bins).select(
+    shares = bin_counts(tagged, bins, ends).select(
         "feature", share_over("n_ref", "feature").alias("e"), share_over("n_prod", "feature").alias("a")
     )
     return shares.groupBy("feature").agg(

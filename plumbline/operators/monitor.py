@@ -144,8 +144,9 @@ def feature_statistics(
     parts = []
     if numeric:
         tagged = tagged_numbers(ref, prod, numeric)
-        m = moments(tagged, ["side", "feature"]).select("side", "feature", "n", "mean", "std")
-        q = exact_quantiles(tagged, "value", [0.5], by=["side", "feature"]).drop("n")
+        m = moments(tagged, ["side", "feature"], [0.5])
+        q = exact_quantiles(tagged, "value", [0.5], by=["side", "feature"], sketch=m).drop("n")
+        ends = m.where("side = 'ref' and n > 0").select("feature", "first", "last")
         m = m.join(F.broadcast(q), ["side", "feature"])
 
         def of(side: str, field: str) -> Column:
@@ -162,7 +163,7 @@ def feature_statistics(
             .where("ref_n > 0 and prod_n > 0")
             .drop("ref_n", "prod_n")
         )
-        psi = numerical_psi_by_feature(tagged)
+        psi = numerical_psi_by_feature(tagged, ends=ends)
         ks = ks_by_feature(tagged).drop("ref_n", "prod_n")
         parts.append(
             wide.join(F.broadcast(psi), "feature")
@@ -271,7 +272,7 @@ class MonitorResult:
 
 
 def monitor(ref: DataFrame, inputs: DataFrame, preds: DataFrame, cfg: MonitorConfig = MonitorConfig()) -> MonitorResult:
-    """The whole monitoring run; nothing executes until a result is used."""
+    """The whole monitoring run; only the small profile tables are computed at once."""
     metrics = drift_metrics(ref, inputs, preds, cfg)
     checks = validate(ref, inputs, skip=(*NOT_FEATURES, "request_id"))
     return MonitorResult(metrics, checks, retrain_decision(metrics, checks, cfg), drift_report(metrics))

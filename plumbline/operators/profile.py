@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions.terms import share
-from plumbline.operators.ranks import drop_nan, exact_quantiles, melt
-from plumbline.session import one_row
+from plumbline.operators.ranks import drop_nan, exact_quantiles, melt, sketch_columns
+from plumbline.session import broadcast_checked, one_row
 
 # Fence width in interquartile ranges and the binning constants.
 FENCE = 1.5
@@ -21,20 +21,27 @@ def numeric_long(df: DataFrame, columns: list[str], side: str | None = None) ->
     return long if side is None else long.withColumn("side", F.lit(side))
 
 
-def moments(long: DataFrame, by: list[str]) -> DataFrame:
-    """Count, missing, mean, sample std, min, max, skewness, excess kurtosis."""
+def moments(long: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """Per group, in one pass: count, missing, mean, sample std, min, max, skewness,
+    excess kurtosis, and the sketch from which ``probs`` are made exact.
+
+    There is a row per column (and side), so the table is fetched and kept
+    while the other passes use it; more rows than can be fetched stay a plan.
+    """
     v = F.col("value")
-    return long.groupBy(*by).agg(
+    table = long.groupBy(*by).agg(
         F.count("*").alias("n_rows"),
-        F.count(v).alias("n"),
         F.avg(v).alias("mean"),
         F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
         F.skewness(v).alias("skewness"),
         F.kurtosis(v).alias("kurtosis"),
         F.count_if(v.isNull()).alias("missing_count"),
+        *sketch_columns(v, probs),
     )
+    return broadcast_checked(table)
+
+
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 def numeric_profile(df: DataFrame, columns: list[str], literal_missing: bool = False) -> DataFrame:
@@ -44,8 +51,9 @@ def numeric_profile(df: DataFrame, columns: list[str], literal_missing: bool = F
     dropped, that is 0.
     """
     long = numeric_long(df, columns)
-    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["feature"]).drop("n")
-    out = moments(long, ["feature"]).where("n > 0").join(F.broadcast(quartiles), "feature")
+    m = moments(long, ["feature"], QUARTILES)
+    quartiles = exact_quantiles(long, "value", QUARTILES, by=["feature"], sketch=m).drop("n")
+    out = m.where("n > 0").join(F.broadcast(quartiles), "feature")
     missing = F.lit(0) if literal_missing else F.col("missing_count")
     return out.select(
         "feature",
@@ -54,8 +62,8 @@ def numeric_profile(df: DataFrame, columns: list[str], literal_missing: bool = F
         "mean",
         "std",
         F.col("q1").alias("median"),
-        "min",
-        "max",
+        F.col("first").alias("min"),
+        F.col("last").alias("max"),
         F.col("q0").alias("q25"),
         F.col("q2").alias("q75"),
         (F.col("q2") - F.col("q0")).alias("iqr"),
@@ -108,9 +116,13 @@ def fences(quartiles: DataFrame, by: list[str]) -> DataFrame:
     return quartiles.select(*by, (F.col("q0") - width).alias("low_fence"), (F.col("q1") + width).alias("high_fence"))
 
 
-def outlier_shares(long: DataFrame) -> DataFrame:
-    """Share of values beyond the data's own fences, per feature."""
-    limits = fences(exact_quantiles(long, "value", [0.25, 0.75], by=["feature"]), ["feature"])
+def outlier_shares(long: DataFrame, sketch: DataFrame | None = None) -> DataFrame:
+    """Share of values beyond the data's own fences, per feature.
+
+    ``sketch`` brackets the outer quartiles, if computed already.
+    """
+    quartiles = exact_quantiles(long, "value", [0.25, 0.75], by=["feature"], sketch=sketch)
+    limits = fences(quartiles, ["feature"])
     outside = (F.col("value") < F.col("low_fence")) | (F.col("value") > F.col("high_fence"))
     return (
         long.where(F.col("value").isNotNull())
@@ -140,15 +152,18 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def bin_edges(long: DataFrame, bins: int = BINS) -> DataFrame:
+def value_ends(long: DataFrame) -> DataFrame:
+    """``feature, first, last``: the smallest and largest value."""
+    rows = long.where(F.col("value").isNotNull()).groupBy("feature")
+    return rows.agg(F.min("value").alias("first"), F.max("value").alias("last"))
+
+
+def bin_edges(ends: DataFrame, bins: int = BINS) -> DataFrame:
     """Equal-width, right-closed edges per feature: ``feature, edges``.
 
     The first edge is lowered by a thousandth of the range; a constant column
     is widened by a thousandth of its value on both sides instead.
     """
-    ends = long.where(F.col("value").isNotNull()).groupBy("feature").agg(
-        F.min("value").alias("first"), F.max("value").alias("last")
-    )
     flat = F.col("first") == F.col("last")
     pad = F.when(F.col("first") == 0, F.lit(LOWERING)).otherwise(F.abs(F.col("first")) * LOWERING)
     ends = ends.select(
@@ -169,13 +184,15 @@ def bin_number(value: Column, edges: Column, bins: int = BINS) -> Column:
     return F.when(inside, F.lit(1) + above)
 
 
-def bin_counts(tagged: DataFrame, bins: int = BINS) -> DataFrame:
+def bin_counts(tagged: DataFrame, bins: int = BINS, ends: DataFrame | None = None) -> DataFrame:
     """``feature, bin, n_ref, n_prod`` on edges fixed by the reference rows.
 
     ``tagged`` has ``side, feature, value``; production values outside the
-    edges are dropped.
+    edges are dropped. ``ends`` are the reference's ``value_ends``, if known.
     """
-    edges = F.broadcast(bin_edges(tagged.where("side = 'ref'"), bins))
+    if ends is None:
+        ends = value_ends(tagged.where("side = 'ref'"))
+    edges = F.broadcast(bin_edges(ends, bins))
     return (
         tagged.where(F.col("value").isNotNull())
         .join(edges, "feature")

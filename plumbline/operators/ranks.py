@@ -43,16 +43,23 @@ def drop_nan(value: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
-def _brackets(base: DataFrame, keys: list[str], ranks: list) -> DataFrame:
+def sketch_columns(value: Column, shares: list[float]) -> list[Column]:
+    """The aggregates that bracket ranks lying at about these shares of the rows.
+
+    Another aggregation over the same rows can carry them, and hand its result
+    to ``order_statistics`` or ``exact_quantiles`` to spare them a scan.
+    """
+    ends = [max(0.0, p - MARGIN) for p in shares] + [min(1.0, p + MARGIN) for p in shares]
+    return [
+        F.count(value).alias("n"),
+        F.min(value).alias("first"),
+        F.max(value).alias("last"),
+        F.percentile_approx(value, ends, SKETCH_ACCURACY).alias("s"),
+    ]
+
+
+def _brackets(sketch: DataFrame, keys: list[str], ranks: list) -> DataFrame:
     """Per group and target: bracket ends, the two wanted ranks, the row count."""
-    low = [max(0.0, share - MARGIN) for share, _, _ in ranks]
-    high = [min(1.0, share + MARGIN) for share, _, _ in ranks]
-    sketch = base.groupBy(*keys).agg(
-        F.count("v").alias("n"),
-        F.min("v").alias("first"),
-        F.max("v").alias("last"),
-        F.percentile_approx("v", low + high, SKETCH_ACCURACY).alias("s"),
-    )
     whole = F.col("n") < SMALL_GROUP
     targets = F.array(
         *[
@@ -74,7 +81,12 @@ def _match(left: str, right: str, keys: list[str]) -> list[Column]:
 
 
 def order_statistics(
-    df: DataFrame, value: str, ranks: list, by: list[str] | None = None, bounded: bool = True
+    df: DataFrame,
+    value: str,
+    ranks: list,
+    by: list[str] | None = None,
+    bounded: bool = True,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Exact values at given ranks per group: ``by…, target, n, low, high``.
 
@@ -82,13 +94,18 @@ def order_statistics(
     to a 0-based rank, neighbours of each other, and about where they lie
     (0..1). With ``bounded`` the groups are known to be few (columns of a
     schema); otherwise the group table is broadcast only after a size check.
+    ``sketch`` has the columns of ``sketch_columns`` per group, if computed already.
     """
     by = by or []
     keys = [f"g{i}" for i in range(len(by))]
     base = df.select(
         *[F.col(f"`{b}`").alias(k) for b, k in zip(by, keys)], F.col(f"`{value}`").alias("v")
     ).where(F.col("v").isNotNull())
-    brackets = _brackets(base, keys, ranks)
+    if sketch is None:
+        sketch = base.groupBy(*keys).agg(*sketch_columns(F.col("v"), [share for share, _, _ in ranks]))
+    else:
+        sketch = sketch.select(*[F.col(f"`{b}`").alias(k) for b, k in zip(by, keys)], "n", "first", "last", "s")
+    brackets = _brackets(sketch, keys, ranks)
     brackets = F.broadcast(brackets) if bounded else broadcast_checked(brackets)
     joined = base.alias("b").join(
         brackets.alias("t"),
@@ -139,11 +156,18 @@ def order_statistics(
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: list[float],
+    by: list[str] | None = None,
+    sketch: DataFrame | None = None,
+) -> DataFrame:
     """Linearly interpolated quantiles, one row per group: ``by…, n, q0, q1, …``.
 
     Missing values are skipped; a group without values has no row. Without
-    ``by`` the result always has one row, with nulls on empty input.
+    ``by`` the result always has one row, with nulls on empty input. ``sketch``
+    is the result of ``sketch_columns`` for the same groups and ``probs``.
     """
     by = by or []
 
@@ -154,7 +178,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
             lambda n: F.ceil((n - 1) * F.lit(float(p))),
         )
 
-    values = order_statistics(df, value, [target(p) for p in probs], by)
+    values = order_statistics(df, value, [target(p) for p in probs], by, sketch=sketch)
 
     def pick(column: str, i: int) -> Column:
         return F.max(F.when(F.col("target") == i, F.col(column).cast("double")))

@@ -78,7 +78,7 @@ def numeric_checks(
     literal_missing: bool = False,
 ) -> DataFrame:
     tagged = tagged_numbers(ref, prod, columns)
-    both = moments(tagged, ["side", "feature"])
+    both = moments(tagged, ["side", "feature"], [0.25, 0.75])
     fields = ["n_rows", "n", "mean", "std", "skewness", "missing_count"]
 
     def side(name: str, prefix: str) -> DataFrame:
@@ -86,7 +86,7 @@ def numeric_checks(
             "feature", *[F.col(c).alias(f"{prefix}_{c}") for c in fields]
         )
 
-    outliers = outlier_shares(tagged.where("side = 'prod'").drop("side"))
+    outliers = outlier_shares(tagged.where("side = 'prod'").drop("side"), both.where("side = 'prod'"))
     f = (
         side("ref", "r")
         .where("r_n > 0")
