@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import isnan
+from math import isnan, sqrt
 
 import numpy as np
 import pandas as pd
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.functions.cleaning import as_text
 from plumbline.operators.metrics import class_weights
-from plumbline.operators.profile import categorical_profile, numeric_long
+from plumbline.operators.profile import categorical_profile, moments, numeric_long
 from plumbline.operators.ranks import dense_codes, drop_nan, exact_quantiles, order_statistics
 from plumbline.schemas import HIGH_CARD_FEATURES, LOW_CARD_FEATURES, NUMERIC_FEATURES
 from plumbline.session import broadcast_checked, one_row
@@ -244,30 +244,34 @@ class NumericScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
     def _fit(self, df: DataFrame) -> "NumericScalerModel":
         columns = self.getInputCols()
         long = numeric_long(df, columns)
-        medians = exact_quantiles(long, "value", [0.5], by=["feature"]).select("feature", F.col("q0").alias("median"))
-        filled = long.join(F.broadcast(medians), "feature", "left")
-        x = F.coalesce("value", "median")
-        rows = (
-            filled.groupBy("feature")
-            .agg(F.max("median").alias("median"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"))
-            .collect()
-        )
-        found = {r["feature"]: r for r in rows}
-
-        def number(name: str, field: str, default: float) -> float:
-            value = found[name][field] if name in found else None
-            return default if value is None or isnan(value) else value
-
-        scales = [number(c, "std", 1.0) for c in columns]
+        m = moments(long, ["feature"], [0.5])
+        medians = exact_quantiles(long, "value", [0.5], by=["feature"], sketch=m).select("feature", "q0")
+        rows = m.join(F.broadcast(medians), "feature").select("feature", "n", "n_rows", "mean", "std", "q0").collect()
+        found = {r["feature"]: _filled_moments(r["n"], r["n_rows"], r["mean"], r["std"], r["q0"]) for r in rows}
+        empty = (0.0, 0.0, 1.0)
+        medians, means, scales = zip(*[found.get(c, empty) for c in columns])
         return NumericScalerModel(
             inputCols=columns,
             outputCols=self.getOutputCols(),
-            medians=[number(c, "median", 0.0) for c in columns],
-            means=[number(c, "mean", 0.0) for c in columns],
-            scales=[s if s != 0 else 1.0 for s in scales],
+            medians=list(medians),
+            means=list(means),
+            scales=list(scales),
         )
 
 
+def _filled_moments(n: int, rows: int, mean: float, std: float | None, median: float) -> tuple:
+    """Median, then mean and population std of a column whose gaps hold the median.
+
+    A constant column, up to rounding of its mean, is divided by 1.
+    """
+    gaps = rows - n
+    centre = mean + gaps * (median - mean) / rows
+    within = 0.0 if std is None or isnan(std) else std * std * (n - 1)
+    spread = within + n * (mean - centre) ** 2 + gaps * (median - centre) ** 2
+    scale = sqrt(spread / rows)
+    return median, centre, scale if scale > 1e-14 * abs(centre) else 1.0
+
+
 class NumericScalerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     medians = Param(Params._dummy(), "medians", "fill values", TypeConverters.toListFloat)
     means = Param(Params._dummy(), "means", "centres", TypeConverters.toListFloat)

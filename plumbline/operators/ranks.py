@@ -73,7 +73,7 @@ def _brackets(sketch: DataFrame, keys: list[str], ranks: list) -> DataFrame:
             for i, (_, lower, upper) in enumerate(ranks)
         ]
     )
-    return sketch.where("n > 0").select(*keys, "n", F.inline(targets))
+    return sketch.where("n > 0").select(*keys, "n", "first", "last", F.inline(targets))
 
 
 def _match(left: str, right: str, keys: list[str]) -> list[Column]:
@@ -88,7 +88,7 @@ def order_statistics(
     bounded: bool = True,
     sketch: DataFrame | None = None,
 ) -> DataFrame:
-    """Exact values at given ranks per group: ``by…, target, n, low, high``.
+    """Exact values at given ranks per group: ``by…, target, n, first, last, low, high``.
 
     ``ranks`` lists ``(share, lower, upper)``: two functions from the row count
     to a 0-based rank, neighbours of each other, and about where they lie
@@ -121,7 +121,7 @@ def order_statistics(
         .cast("int")
     )
     group = [*keys, "target"]
-    facts = [*group, "n", "r0", "r1"]
+    facts = [*group, "n", "first", "last", "r0", "r1"]
     counts = (
         joined.select(*[f"t.{c}" for c in facts], cell.alias("cell"), F.col("b.v").alias("v"))
         .withColumn("v", F.when(F.col("cell") >= 0, F.col("v")))
@@ -150,9 +150,9 @@ def order_statistics(
 
     return (
         found.withColumn("start", start)
-        .groupBy(*group, "n")
+        .groupBy(*group, "n", "first", "last")
         .agg(at("r0").alias("low"), at("r1").alias("high"))
-        .select(*[F.col(k).alias(b) for k, b in zip(keys, by)], "target", "n", "low", "high")
+        .select(*[F.col(k).alias(b) for k, b in zip(keys, by)], "target", "n", "first", "last", "low", "high")
     )
 
 
@@ -178,20 +178,29 @@ def exact_quantiles(
             lambda n: F.ceil((n - 1) * F.lit(float(p))),
         )
 
-    values = order_statistics(df, value, [target(p) for p in probs], by, sketch=sketch)
+    # The ends are known from the sketch; only inner quantiles need counting.
+    inner = [p for p in probs if 0 < p < 1] or [0.5]
+    values = order_statistics(df, value, [target(p) for p in inner], by, sketch=sketch)
 
     def pick(column: str, i: int) -> Column:
         return F.max(F.when(F.col("target") == i, F.col(column).cast("double")))
 
     wide = values.groupBy(*by).agg(
         F.max("n").alias("n"),
-        *[pick(c, i).alias(f"{c}{i}") for i in range(len(probs)) for c in ("low", "high")],
+        F.max("first").cast("double").alias("first"),
+        F.max("last").cast("double").alias("last"),
+        *[pick(c, i).alias(f"{c}{i}") for i in range(len(inner)) for c in ("low", "high")],
     )
     out = []
-    for i, p in enumerate(probs):
-        position = (F.col("n") - 1) * F.lit(float(p))
-        weight = position - F.floor(position)
-        out.append((F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * weight).alias(f"q{i}"))
+    for slot, p in enumerate(probs):
+        if p in (0, 1):
+            quantile = F.col("last" if p else "first")
+        else:
+            i = inner.index(p)
+            position = (F.col("n") - 1) * F.lit(float(p))
+            weight = position - F.floor(position)
+            quantile = F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * weight
+        out.append(quantile.alias(f"q{slot}"))
     return wide.select(*by, "n", *out)
 
 
