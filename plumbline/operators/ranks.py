@@ -204,20 +204,21 @@ def exact_quantiles(
     return wide.select(*by, "n", *out)
 
 
-def running_totals(df: DataFrame, order: list[str], sums: list[str], by: list[str] | None = None) -> DataFrame:
+def running_totals(
+    df: DataFrame, order: list[str], sums: list[str], by: list[str] | None = None, tasks: int | None = None
+) -> DataFrame:
     """Adds ``before_<c>``: the sum of ``c`` over the earlier rows of the group.
 
     The rows must be distinct on ``by + order`` (aggregate first), so that no
     key can be hot. Rows are range partitioned on ``by + order`` and stored with
     their partition number; totals of earlier partitions come from a table of
-    one row per group and partition.
+    one row per group and partition. ``tasks`` fixes the number of partitions,
+    which otherwise follows the session and the size of the data.
     """
     by = by or []
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = cut_lineage(
-        df.repartitionByRange(tasks, *by, *order).withColumn("part", F.spark_partition_id()),
-        "running-totals",
-    )
+    keys = [*by, *order]
+    ranged = df.repartitionByRange(*keys) if tasks is None else df.repartitionByRange(tasks, *keys)
+    part = cut_lineage(ranged.withColumn("part", F.spark_partition_id()), "running-totals")
     totals = part.groupBy(*by, "part").agg(*[F.sum(c).alias(f"total_{c}") for c in sums])
     earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

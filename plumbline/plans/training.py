@@ -113,6 +113,16 @@ def train_forest_blocks(
     return ForestBlocks(models)
 
 
+def load_forest_blocks(folder: str) -> ForestBlocks:
+    """The saved blocks of a folder, up to the first gap."""
+    models: list[RandomForestClassificationModel] = []
+    while (block := load_saved(f"{folder}/block-{len(models):04d}", RandomForestClassificationModel.load)) is not None:
+        models.append(block)
+    if not models:
+        raise RuntimeError(f"no forest block in {folder}")
+    return ForestBlocks(models)
+
+
 def train_tree(train: DataFrame, seed: int = SEED, max_depth: int = 10):
     return DecisionTreeClassifier(seed=seed, maxDepth=max_depth).fit(train)
 
