@@ -60,6 +60,17 @@ def count_table(ref: DataFrame, prod: DataFrame, columns: list) -> DataFrame:
     )
 
 
+def align_with_counts(ref_counts: DataFrame, prod: DataFrame, columns: list[str]) -> DataFrame:
+    """``count_table`` from the reference's stored ``feature, value, n``."""
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    ref = ref_counts.where(F.col("feature").isin(columns)).select(
+        "feature", "value", F.col("n").alias("r"), zero.alias("p")
+    )
+    rows = melt(prod, columns, "string").select("feature", "value", zero.alias("r"), one.alias("p"))
+    both = ref.unionByName(rows).groupBy("feature", "value")
+    return both.agg(F.sum("r").alias("n_ref"), F.sum("p").alias("n_prod"))
+
+
 def new_values(counts: DataFrame) -> DataFrame:
     """Values seen in production only."""
     return counts.where("value is not null and n_ref = 0 and n_prod > 0")

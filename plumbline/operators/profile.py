@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from plumbline.functions.terms import share
 from plumbline.operators.ranks import drop_nan, exact_quantiles, melt, sketch_columns
+from plumbline.schemas import NOT_FEATURES, category_columns, numeric_columns
 from plumbline.session import broadcast_checked, one_row
 
 # Fence width in interquartile ranges and the binning constants.
@@ -21,7 +24,7 @@ def numeric_long(df: DataFrame, columns: list[str], side: str | None = None) ->
     return long if side is None else long.withColumn("side", F.lit(side))
 
 
-def moments(long: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+def moments(long: DataFrame, by: list[str], probs: list[float] | None = None) -> DataFrame:
     """Per group, in one pass: count, missing, mean, sample std, min, max, skewness,
     excess kurtosis, and the sketch from which ``probs`` are made exact.
 
@@ -36,7 +39,7 @@ def moments(long: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
         F.skewness(v).alias("skewness"),
         F.kurtosis(v).alias("kurtosis"),
         F.count_if(v.isNull()).alias("missing_count"),
-        *sketch_columns(v, probs),
+        *(sketch_columns(v, probs) if probs else [F.count(v).alias("n")]),
     )
     return broadcast_checked(table)
 
@@ -110,6 +113,43 @@ def categorical_profile(df: DataFrame, columns: list[str], literal_missing: bool
     )
 
 
+@dataclass
+class Profile:
+    """What a reference table looks like, to check later tables against.
+
+    ``features`` has one row per column with values, ``values`` the count of
+    every value of the text columns. Neither needs the table any more.
+    """
+
+    features: DataFrame
+    values: DataFrame
+
+    def save(self, folder: str) -> None:
+        self.features.write.mode("overwrite").parquet(f"{folder}/features")
+        self.values.write.mode("overwrite").parquet(f"{folder}/values")
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> "Profile":
+        return Profile(spark.read.parquet(f"{folder}/features"), spark.read.parquet(f"{folder}/values"))
+
+
+def reference_profile(df: DataFrame, skip: tuple[str, ...] = NOT_FEATURES, literal_missing: bool = False) -> Profile:
+    """Profile of every feature of a table."""
+    numeric, text = numeric_columns(df.schema, skip), category_columns(df.schema, skip)
+    if not numeric and not text:
+        raise ValueError("the table has no feature columns")
+    parts = []
+    if numeric:
+        parts.append(numeric_profile(df, numeric, literal_missing))
+    if text:
+        parts.append(categorical_profile(df, text, literal_missing))
+        values = category_counts(df, text)
+    else:
+        values = df.sparkSession.createDataFrame([], "feature string, value string, n bigint")
+    features = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return Profile(features, values)
+
+
 def fences(quartiles: DataFrame, by: list[str]) -> DataFrame:
     """Outlier fences from ``q0`` (lower quartile) and ``q1`` (upper quartile)."""
     width = (F.col("q1") - F.col("q0")) * FENCE

@@ -19,7 +19,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.session import broadcast_checked, cut_lineage
 
-SKETCH_ACCURACY = 10_000
+# A sketch travels from every map task to one reducer per group, so it is kept to
+# some tens of kilobytes; the wider brackets cost more counted rows, which spread
+# over all reducers.
+SKETCH_ACCURACY = 2_000
 # Half width of a bracket as a share of the rows: five times the sketch's error.
 MARGIN = 5 / SKETCH_ACCURACY
 # Below this many rows the bracket is the whole range.

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.operators.counts import count_table, new_value_examples
-from plumbline.operators.drift import category_summary, tagged_numbers
-from plumbline.operators.profile import moments, outlier_shares
+from plumbline.operators.counts import align_with_counts, count_table, new_value_examples
+from plumbline.operators.drift import category_summary
+from plumbline.operators.profile import Profile, moments, numeric_long, outlier_shares
 from plumbline.schemas import NOT_FEATURES, category_columns, numeric_columns
 
 # Limits of the checks.
@@ -70,39 +72,40 @@ def _empty_check() -> Column:
 
 
 def numeric_checks(
-    ref: DataFrame,
+    stats: DataFrame,
     prod: DataFrame,
     columns: list[str],
     tolerance: float = TOLERANCE,
     skew_limit: float = SKEW_LIMIT,
     literal_missing: bool = False,
 ) -> DataFrame:
-    tagged = tagged_numbers(ref, prod, columns)
-    both = moments(tagged, ["side", "feature"], [0.25, 0.75])
-    fields = ["n_rows", "n", "mean", "std", "skewness", "missing_count"]
-
-    def side(name: str, prefix: str) -> DataFrame:
-        return both.where(F.col("side") == name).select(
-            "feature", *[F.col(c).alias(f"{prefix}_{c}") for c in fields]
-        )
-
-    outliers = outlier_shares(tagged.where("side = 'prod'").drop("side"), both.where("side = 'prod'"))
+    """Checks of numeric columns; ``stats`` has the reference's ``feature, mean, std, skewness, missing_pct``."""
+    long = numeric_long(prod, columns)
+    now = moments(long, ["feature"], [0.25, 0.75])
+    missing = F.lit(0.0) if literal_missing else F.col("missing_count") / F.col("n_rows")
+    p = now.select(
+        "feature",
+        F.col("n").alias("p_n"),
+        F.col("mean").alias("p_mean"),
+        F.col("std").alias("p_std"),
+        F.col("skewness").alias("p_skewness"),
+        missing.alias("p_missing"),
+    )
+    r = stats.select(
+        "feature",
+        F.col("mean").alias("r_mean"),
+        F.col("std").alias("r_std"),
+        F.col("skewness").alias("r_skewness"),
+        (F.lit(0.0) if literal_missing else F.col("missing_pct")).alias("r_missing"),
+    )
     f = (
-        side("ref", "r")
-        .where("r_n > 0")
-        .join(F.broadcast(side("prod", "p")), "feature", "left")
-        .join(F.broadcast(outliers), "feature", "left")
+        r.where(F.col("feature").isin(columns))
+        .join(F.broadcast(p), "feature", "left")
+        .join(F.broadcast(outlier_shares(long, now)), "feature", "left")
         .withColumn("type", F.lit("numerical"))
         .withColumn("mean_shift", F.abs(F.col("p_mean") - F.col("r_mean")) / F.greatest(F.abs("r_mean"), F.lit(FLOOR)))
         .withColumn("std_shift", F.abs(F.col("p_std") - F.col("r_std")) / F.greatest("r_std", F.lit(FLOOR)))
     )
-    zero = F.lit(0.0)
-    f = f.withColumns(
-        {
-            "r_missing": zero if literal_missing else F.col("r_missing_count") / F.col("r_n_rows"),
-            "p_missing": zero if literal_missing else F.col("p_missing_count") / F.col("p_n_rows"),
-        }
-    )
     moved = F.col("mean_shift") > tolerance
     checks = [
         F.when(F.coalesce("p_n", F.lit(0)) == 0, _empty_check()),
@@ -155,8 +158,8 @@ def numeric_checks(
     return _rows_of(f, checks)
 
 
-def category_checks(ref: DataFrame, prod: DataFrame, columns: list[str]) -> DataFrame:
-    counts = count_table(ref, prod, columns)
+def category_checks(counts: DataFrame) -> DataFrame:
+    """Checks of text columns from the aligned counts of both tables."""
     f = (
         category_summary(counts)
         .where("ref_rows > 0")
@@ -200,18 +203,26 @@ def category_checks(ref: DataFrame, prod: DataFrame, columns: list[str]) -> Data
     return _rows_of(f, checks)
 
 
-def missing_column_checks(ref: DataFrame, columns: list[str], kinds: dict[str, str]) -> DataFrame:
-    """Warnings for reference columns that production lacks; empty reference columns are skipped."""
-    present = ref.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns])
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.lit(kinds[c]).alias("type"), F.col(f"`{c}`").alias("n"))
-            for c in columns
-        ]
-    )
+def missing_column_checks(features: DataFrame) -> DataFrame:
+    """Warnings for ``feature, type`` rows that production lacks."""
     message = F.concat(F.lit("Column "), F.col("feature"), F.lit(" missing in production data"))
-    check = _row("missing_column", "warning", "warning", None, None, None, None, message)
-    return _rows_of(present.select(F.inline(pairs)).where("n > 0"), [check])
+    return _rows_of(features, [_row("missing_column", "warning", "warning", None, None, None, None, message)])
+
+
+def _present(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """``feature, type`` of the columns that have any value."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in kinds])
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.lit(kind).alias("type"), F.col(f"`{c}`").alias("n"))
+        for c, kind in kinds.items()
+    ]
+    return counts.select(F.inline(F.array(*rows))).where("n > 0").select("feature", "type")
+
+
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    if not parts:
+        raise ValueError("the reference has no feature columns")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def validate(
@@ -231,22 +242,41 @@ def validate(
     numeric, text = numeric_columns(ref.schema, skip), category_columns(ref.schema, skip)
     there = set(prod.columns)
     parts = []
-    if [c for c in numeric if c in there]:
-        parts.append(
-            numeric_checks(ref, prod, [c for c in numeric if c in there], tolerance, skew_limit, literal_missing)
-        )
-    if [c for c in text if c in there]:
-        parts.append(category_checks(ref, prod, [c for c in text if c in there]))
-    absent = [c for c in [*numeric, *text] if c not in there]
-    if absent or not parts:
-        kinds = {**{c: "numerical" for c in numeric}, **{c: "categorical" for c in text}}
-        if not absent:
-            raise ValueError("the reference has no feature columns")
-        parts.append(missing_column_checks(ref, absent, kinds))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    columns = [c for c in numeric if c in there]
+    if columns:
+        stats = moments(numeric_long(ref, columns), ["feature"]).where("n > 0")
+        stats = stats.withColumn("missing_pct", F.col("missing_count") / F.col("n_rows"))
+        parts.append(numeric_checks(stats, prod, columns, tolerance, skew_limit, literal_missing))
+    columns = [c for c in text if c in there]
+    if columns:
+        parts.append(category_checks(count_table(ref, prod, columns)))
+    absent = {c: "numerical" for c in numeric if c not in there} | {c: "categorical" for c in text if c not in there}
+    if absent:
+        parts.append(missing_column_checks(_present(ref, absent)))
+    return _stacked(parts)
+
+
+def validate_against(
+    profile: Profile,
+    prod: DataFrame,
+    tolerance: float = TOLERANCE,
+    skew_limit: float = SKEW_LIMIT,
+    literal_missing: bool = False,
+) -> DataFrame:
+    """As ``validate``, against a stored profile: the reference is not read again."""
+    kinds = dict(tuple(r) for r in profile.features.select("feature", "type").collect())
+    there = set(prod.columns)
+    parts = []
+    columns = [c for c, kind in kinds.items() if kind == "numerical" and c in there]
+    if columns:
+        parts.append(numeric_checks(profile.features, prod, columns, tolerance, skew_limit, literal_missing))
+    columns = [c for c, kind in kinds.items() if kind == "categorical" and c in there]
+    if columns:
+        parts.append(category_checks(align_with_counts(profile.values, prod, columns)))
+    absent = [c for c in kinds if c not in there]
+    if absent:
+        parts.append(missing_column_checks(profile.features.where(F.col("feature").isin(absent))))
+    return _stacked(parts)
 
 
 def validation_summary(checks: DataFrame) -> DataFrame:

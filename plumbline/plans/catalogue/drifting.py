@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.operators import drift as D, monitor as M, validate as V
+from plumbline.operators.profile import Profile, reference_profile
 from plumbline.plans.catalogue.base import (
     EVENT_CUT,
     HALVES,
@@ -21,6 +22,7 @@ from plumbline.plans.catalogue.base import (
     table,
     tidy,
 )
+from plumbline.session import scratch_path
 
 CFG = M.MonitorConfig(category="priority", high_cardinality="address")
 
@@ -186,6 +188,19 @@ def validation_checks(spark, sf_dir):
     return tidy(V.validate(*_checks_inputs(spark, sf_dir)).drop("type", "message"), 5)
 
 
+@query(
+    "validation_by_profile",
+    f"""WITH {CHECKS_SQL} SELECT feature, check_name AS "check", status, level, severity, round(ref_value, 5) AS ref_value,
+         round(prod_value, 5) AS prod_value, round(value, 5) AS value FROM checks""",
+)
+def validation_by_profile(spark, sf_dir):
+    """The same checks against a profile that was saved and loaded."""
+    ref, prod = _checks_inputs(spark, sf_dir)
+    path = scratch_path(spark, "profile")
+    reference_profile(ref).save(path)
+    return tidy(V.validate_against(Profile.load(spark, path), prod).drop("type", "message"), 5)
+
+
 @query(
     "validation_messages",
     f"""WITH {CHECKS_SQL} SELECT feature, check_name AS "check", CASE check_name
