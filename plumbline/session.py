@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -27,6 +28,11 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="plumbline-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -37,9 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    base = tempfile.mkdtemp(prefix="plumbline-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

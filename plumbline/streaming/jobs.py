@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plumbline.functions import terms
 from plumbline.functions.terms import share
 from plumbline.plans.scoring import score
-from plumbline.session import one_row
+from plumbline.session import cut_lineage, one_row
 from plumbline.sources.requests import check_requests, rejected_requests, valid_requests
 
 # Fixed value: length of a monitoring period.
@@ -127,7 +127,11 @@ def drift_stream(
     stream: DataFrame, ref_counts: DataFrame, ts: str, column: str, path: str, checkpoint: str,
     late: str = "1 hour", trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Drift of every window once it has closed; all of a window's counts arrive together."""
+    """Drift of every window once it has closed; all of a window's counts arrive together.
+
+    The reference counts are computed once and stored, not once per micro-batch.
+    """
+    ref_counts = cut_lineage(ref_counts, "reference-counts")
     counts = windowed_counts(stream, ts, MONITOR_PERIOD, late, [column])
     return write_updates(
         counts, path, checkpoint, trigger, mode="append", then=lambda batch: window_drift(batch, ref_counts, column)
