@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import re
 import sys
 import types
 from collections.abc import Callable
+from itertools import chain, islice
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.session import scratch_path
@@ -59,21 +64,26 @@ class WordEncoder:
 
     Both vocabularies here split a text at white space before they merge, so a
     text's ids are those of its pieces, a piece being a word with the white space
-    before it (``keep_space``) or a word alone. The library encodes each new piece
-    once; a worker then finds it in a cache of bounded size. Texts with a special
-    token's string or with a separator control character, where this would not
-    hold, are given to the library whole.
+    before it (``keep_space``) or a word alone. A worker keeps the ids of the first
+    ``CACHE`` pieces it meets, which are the frequent ones; the library encodes all
+    others anew, thousands in one text with a mark between them. Texts with a
+    special token's string or a control character that may be mistaken, where this
+    would not hold, are given to the library whole.
+
+    Pieces go by short names: a word that one space precedes, or a line break and
+    the word after it, is its own name; any other has ``MARK`` before it.
     """
 
     # Entries of about 200 bytes each.
-    CACHE = 900_000
+    CACHE = 500_000
     LONGEST = 64
-    ODD = "\x1c\x1d\x1e\x1f"
+    MARK = "\x01"
+    ODD = re.compile("[\x01\x1c-\x1f]").search
+    # White space other than blanks and line breaks.
+    RARE = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+    RUNS = ("  ", " \n", "\n ", "\n\n")
 
     def __init__(self, path: str, dtype: str, keep_space: bool):
-        import os
-        import re
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,40 +91,72 @@ class WordEncoder:
         self.dtype, self.keep_space = dtype, keep_space
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.find = re.compile(r"\s*\S+|\s+").findall
+        self.between = f" {self.MARK}" if keep_space else f" {self.MARK} "
+        *self.before, self.mark = self._whole([self.between])[0]
         self.cache: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        done = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in done]
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _bytes(self, ids) -> bytes:
+        return np.asarray(ids, self.dtype).tobytes()
+
+    def _named(self, piece: str) -> str:
+        if piece[0] in " \n" and len(piece) > 1 and not piece[1].isspace():
+            return piece[1:] if piece[0] == " " else piece
+        return self.MARK + piece
+
+    def pieces(self, text: str) -> list[str]:
+        """Names of the pieces of a text without control characters."""
+        if not self.keep_space:
+            return text.split()
+        plain = text and text[0] not in " \n" and text[-1] not in " \n" and not self.RARE(text)
+        if not plain or any(r in text for r in self.RUNS):
+            return [self._named(p) for p in self.find(text)]
+        names = text.replace("\n", " \n").split(" ")
+        names[0] = self.MARK + names[0]
+        return names
+
+    def _encode(self, names: list[str]) -> dict[str, bytes]:
+        """Ids of pieces, each by itself."""
+        out = {}
+        together = [n for n in names if n[0] != self.MARK]
+        if together:
+            if self.keep_space:
+                joined = "".join([(n if n[0] == "\n" else " " + n) + self.between for n in together])
+            else:
+                joined = "".join([n + self.between for n in together])
+            ids = np.asarray(self._whole([joined])[0], self.dtype)
+            ends = np.flatnonzero(ids == self.mark)
+            begins = np.concatenate([[0], ends[:-1] + 1])
+            raw, width = ids.tobytes(), ids.itemsize
+            ends = (ends - len(self.before)) * width
+            for n, a, b in zip(together, (begins * width).tolist(), ends.tolist(), strict=True):
+                out[n] = raw[a:b]
+        alone = [n for n in names if n[0] == self.MARK]
+        out.update(zip(alone, map(self._bytes, self._whole([n[1:] for n in alone]))))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian bytes of the given type."""
-        out: list[bytes | None] = []
-        pieces: list[list[str]] = []
-        for t in texts:
-            if any(s in t for s in self.special) or any(c in t for c in self.ODD):
-                out.append(self._ids([t])[0])
-                pieces.append([])
-            else:
-                out.append(None)
-                pieces.append(self.find(t) if self.keep_space else t.split())
-        if len(self.cache) > self.CACHE:
-            self.cache.clear()
-        cache = self.cache
-        fresh = list({p for ps in pieces for p in ps if p not in cache})
-        extra: dict[str, bytes] = {}
+        whole = [bool(self.ODD(t)) or any(s in t for s in self.special) for t in texts]
+        named = [[] if w else self.pieces(t) for t, w in zip(texts, whole)]
+        names = list(chain.from_iterable(named))
+        ids = list(map(self.cache.get, names))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        fresh = list(dict.fromkeys([names[i] for i in missing]))
+        found: dict[str, bytes] = {}
         for i in range(0, len(fresh), 4096):
-            part = fresh[i : i + 4096]
-            for p, ids in zip(part, self._ids(part)):
-                (cache if len(p) <= self.LONGEST else extra)[p] = ids
-        for i, ps in enumerate(pieces):
-            if out[i] is None:
-                if extra:
-                    out[i] = b"".join([cache[p] if p in cache else extra[p] for p in ps])
-                else:
-                    out[i] = b"".join(map(cache.__getitem__, ps))
+            found.update(self._encode(fresh[i : i + 4096]))
+        for i in missing:
+            ids[i] = found[names[i]]
+        out, at = [], 0
+        for t, w, ps in zip(texts, whole, named):
+            out.append(self._bytes(self._whole([t])[0]) if w else b"".join(ids[at : at + len(ps)]))
+            at += len(ps)
+        room = self.CACHE - len(self.cache)
+        if room > 0:
+            self.cache.update(islice(((n, x) for n, x in found.items() if len(n) <= self.LONGEST), room))
         return out
 
 
@@ -123,13 +165,13 @@ def encoder(path: str, dtype: str, keep_space: bool) -> WordEncoder:
     return worker_state(f"{path} {dtype} {keep_space}", lambda: WordEncoder(path, dtype, keep_space))
 
 
-def slices(batch, most: int = 8_000_000):
+def slices(batch, most: int = 1_000_000):
     """An Arrow batch in runs of rows whose texts are about ``most`` bytes together."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
     start, size = 0, 0
-    lengths = [len(t or "") for t in batch.column("text").to_pylist()] if batch.num_rows else []
-    for i, n in enumerate(lengths):
+    for i, n in enumerate(sizes.tolist()):
         size += n
-        if size >= most or i + 1 == len(lengths):
+        if size >= most or i + 1 == len(sizes):
             yield batch.slice(start, i + 1 - start)
             start, size = i + 1, 0
 
