@@ -125,29 +125,33 @@ def read_records(spark: SparkSession, folder: str, width: int = 2, payload: bool
     return files.mapInArrow(records, RECORD + (", ids binary" if payload else ""))
 
 
-def mixed_bits(x: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit mix of integers, another one for each seed."""
+def mixed_bits(x: np.ndarray, seed) -> np.ndarray:
+    """A 64-bit mix of integers, another one for each seed (one, or one for each integer)."""
     with np.errstate(over="ignore"):
-        z = x.astype("u8") + np.uint64((seed * 0x9E3779B97F4A7C15) & (2**64 - 1))
+        z = x.astype("u8") + np.asarray(seed, "u8") * np.uint64(0x9E3779B97F4A7C15)
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return z ^ (z >> np.uint64(31))
 
 
-def _hashes(keys: np.ndarray, n: int, groups: int):
-    group = (mixed_bits(keys, 1) % np.uint64(groups)).astype("i8")
-    return group, (mixed_bits(keys, 2) % np.uint64(n)).astype("i8"), (mixed_bits(keys, 3) % np.uint64(n)).astype("i8")
+def _group(keys: np.ndarray, groups: int) -> np.ndarray:
+    return (mixed_bits(keys, 1) % np.uint64(groups)).astype("i8")
+
+
+def _base(keys: np.ndarray, a, n: int) -> np.ndarray:
+    """Another hash of the keys into 0..n-1 for each ``a``."""
+    return (mixed_bits(keys, np.asarray(a, "u8") + np.uint64(16)) % np.uint64(n)).astype("i8")
 
 
 def place_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pilots of the groups and the slot of each key: a bijection onto 0..n-1.
 
-    Groups are placed from large to small. A pilot ``a * n + b`` sends a key to
-    ``(h1 + a * h2 + b) mod n``; a single key always fits the next free slot.
+    Groups are placed from large to small. A pilot ``a * n + b`` sends a key to its
+    ``a``-th hash plus ``b``, modulo n; a single key always fits the next free slot.
     """
     n = len(keys)
     groups = max(1, -(-n // KEYS_PER_GROUP))
-    group, h1, h2 = _hashes(keys, n, groups)
+    group = _group(keys, groups)
     pilots, slots, free = np.zeros(groups, "u8"), np.zeros(n, "i8"), np.ones(n, bool)
     order = np.argsort(group, kind="stable")
     bounds = np.searchsorted(group[order], np.arange(groups + 1))
@@ -160,11 +164,11 @@ def place_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(members) == 1:
             while not free[next_free]:
                 next_free += 1
-            a, b = 0, (next_free - int(h1[members[0]])) % n
+            a, b = 0, (next_free - int(_base(keys[members], 0, n)[0])) % n
         else:
             a = 0
             while True:
-                base = (h1[members] + a * h2[members]) % n
+                base = _base(keys[members], a, n)
                 b = -1
                 if len(np.unique(base)) == len(base):
                     step = 256
@@ -176,15 +180,14 @@ def place_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 if b >= 0:
                     break
                 a += 1
-        at = (h1[members] + a * h2[members] + b) % n
+        at = (_base(keys[members], a, n) + b) % n
         slots[members], free[at], pilots[g] = at, False, a * n + b
     return pilots, slots
 
 
 def find_slots(keys: np.ndarray, pilots: np.ndarray, n: int) -> np.ndarray:
-    group, h1, h2 = _hashes(keys, n, len(pilots))
-    pilot = pilots[group].astype("i8")
-    return (h1 + (pilot // n) * h2 + pilot % n) % n
+    pilot = pilots[_group(keys, len(pilots))].astype("i8")
+    return (_base(keys, pilot // n, n) + pilot % n) % n
 
 
 def fingerprints(keys: np.ndarray) -> np.ndarray:
