@@ -122,24 +122,20 @@ class Automaton:
 
     def _merge(self) -> None:
         settled = [0]
-        edge = [(0, c) for c in sorted(self.next[0])]
-        while edge:
-            # The state seen most often is judged first; ties in order of discovery.
-            i = max(range(len(edge)), key=lambda j: (self.total[self.next[edge[j][0]][edge[j][1]]], -j))
-            parent, c = edge.pop(i)
-            state = self.next[parent][c]
-            if state in settled:
-                continue
+        while True:
+            # A fold may hang new states below any settled one, so the edge is looked up anew.
+            edge = [(p, c, t) for p in settled for c, t in self.next[p].items() if t not in settled]
+            if not edge:
+                break
+            # The state seen most often is judged first.
+            parent, c, state = min(edge, key=lambda e: (-self.total[e[2]], settled.index(e[0]), e[1]))
             for known in settled:
                 if self._compatible(known, state):
                     self.next[parent][c] = known
-                    before = set(self.next[known])
                     self._fold(known, state)
-                    edge += [(known, x) for x in sorted(set(self.next[known]) - before)]
                     break
             else:
                 settled.append(state)
-                edge += [(state, x) for x in sorted(self.next[state])]
         self.settled = settled
 
     def _freeze(self) -> None:
