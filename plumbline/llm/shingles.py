@@ -7,25 +7,18 @@ import xxhash
 
 from plumbline.llm.common import worker_state
 
-# Entries of a worker's cache of word hashes, about 130 bytes each.
-CACHE = 1_500_000
+class WordHashes(dict):
+    """Hashes of the first words a worker meets, about 130 bytes each; others are hashed each time."""
 
+    MOST = 300_000
 
-class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64:
+        if len(self) < self.MOST and len(word) <= 64:
             self[word] = value
         return value
 
 
-def word_hashes() -> WordHashes:
-    cache = worker_state("word hashes", WordHashes)
-    if len(cache) > CACHE:
-        cache.clear()
-    return cache
-
-
 def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
     """One hash per window of ``width`` words, in order; the whole text if it has fewer.
 
@@ -34,7 +27,7 @@ def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
     n = len(words)
     if n == 0:
         return np.empty(0, "u8")
-    h = np.fromiter(map(word_hashes().__getitem__, words), "u8", n)
+    h = np.fromiter(map(worker_state("word hashes", WordHashes).__getitem__, words), "u8", n)
     k = min(width, n)
     out = h[: n - k + 1].copy()
     with np.errstate(over="ignore"):

@@ -89,7 +89,7 @@ def learn_lexicon(sample: DataFrame, most: int = STEMS) -> dict[str, float]:
 class WordFacts(dict):
     """For a raw word: its lexicon weight and what it looks like, found once per worker and task."""
 
-    MOST = 600_000
+    MOST = 200_000
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
