@@ -57,7 +57,7 @@ def _feature_count(df: DataFrame, column: str = "features") -> int:
 
 
 class ForestBlocks(Transformer):
-    """Forests of equal size used as one: probabilities are averaged."""
+    """Forests used as one: probabilities are averaged, each block's by its number of trees."""
 
     def __init__(self, models: list[RandomForestClassificationModel]):
         super().__init__()
@@ -74,10 +74,15 @@ class ForestBlocks(Transformer):
             names.append(f"_block{i}")
             block = model.copy().setProbabilityCol(names[-1]).setRawPredictionCol("").setPredictionCol("")
             out = block.transform(out)
-        total = class_probabilities(names[0])
-        for name in names[1:]:
-            total = F.zip_with(total, class_probabilities(name), lambda a, b: a + b)
-        out = out.withColumn("probability", F.transform(total, lambda x: x / len(names))).drop(*names)
+
+        def weighted(name: str, trees: int):
+            return F.transform(class_probabilities(name), lambda x: x * (trees / self.trees))
+
+        parts = [weighted(n, m.getNumTrees) for n, m in zip(names, self.models)]
+        total = parts[0]
+        for part in parts[1:]:
+            total = F.zip_with(total, part, lambda a, b: a + b)
+        out = out.withColumn("probability", total).drop(*names)
         best = F.array_position("probability", F.array_max("probability")) - 1
         return out.withColumn("prediction", best.cast("double"))
 
@@ -93,21 +98,30 @@ def train_forest_blocks(
 ) -> ForestBlocks:
     """Grow a forest block by block, saving each block as it is finished.
 
-    A later call continues after the last saved block. Saved blocks for another
-    number of features are not used: training starts over.
+    A later call continues after the last saved block that fits: one of the wanted
+    number of trees, depth and seed, for as many features and classes. From the
+    first that does not, blocks are grown anew.
     """
     weighted = add_class_weights(train, "label", power=2)
     width = _feature_count(train)
+    classes = int(train.agg(F.max("label")).first()[0]) + 1
     models: list[RandomForestClassificationModel] = []
     for i in range(-(-trees // block)):
         path = f"{folder}/block-{i:04d}"
         saved = load_saved(path, RandomForestClassificationModel.load) if resume else None
-        if saved is not None and saved.numFeatures == width:
+        size = min(block, trees - i * block)
+        wanted = (size, max_depth, seed + i, width, classes)
+        if saved is not None and wanted == (
+            saved.getNumTrees,
+            saved.getOrDefault("maxDepth"),
+            saved.getOrDefault("seed"),
+            saved.numFeatures,
+            saved.numClasses,
+        ):
             models.append(saved)
             continue
         # Blocks after a missing or unusable one are grown anew.
         resume = False
-        size = min(block, trees - i * block)
         models.append(_forest(size, seed + i, max_depth).fit(weighted))
         save_model(models[-1], path)
     return ForestBlocks(models)
