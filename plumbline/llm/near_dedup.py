@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,6 +23,8 @@ FULL = 512
 # this many agreeing bits, 4.5 deviations less, is not worth comparing.
 BIT_WORDS = 4
 LEAST_BITS = 0.813
+# Bitmaps of the shingles in which a member and its bucket's leader differ, in 64-bit words.
+MAP_WORDS = 8
 
 SIGNATURE = "doc_id bigint, n bigint, print1 bigint, print2 bigint, bits array<bigint>, bands array<bigint>"
 
@@ -92,17 +96,6 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.mapInArrow(sets, "id bigint, shingles array<bigint>")
 
 
-def may_link(n1: Column, n2: Column, bits1: Column, bits2: Column, percent: int, hashes: int) -> Column:
-    """Whether sizes and signature bits leave room for the wanted similarity."""
-    differ = sum(
-        (F.bit_count(F.get(bits1, F.lit(i)).bitwiseXOR(F.get(bits2, F.lit(i)))) for i in range(BIT_WORDS)),
-        F.lit(0),
-    )
-    used = min(hashes, 64 * BIT_WORDS)
-    sizes = (100 * F.least(n1, n2)) >= (percent * F.greatest(n1, n2))
-    return sizes & (differ <= int((1 - LEAST_BITS) * used))
-
-
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``id, component`` of all ids in ``links`` (``a, b``): the smallest id reachable.
 
@@ -173,26 +166,30 @@ class _Search:
         return stored(met.where(close).select("a", "b"), "near-links")
 
     def leaders(self, buckets: DataFrame) -> DataFrame:
-        """A pair of each member with its bucket's least id."""
-        first = buckets.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("members")).where("members > 1")
-        return buckets.join(first, (buckets["key"] == first["key"]) & (buckets["id"] != first["a"])).select(
-            "a", F.col("id").alias("b")
-        )
+        """``key, id, lead`` of the buckets with two or more members.
+
+        A bucket is led by the member whose buckets are the fullest together: copies
+        that were changed least keep most of their band keys, so they meet the others
+        most often. Of equals the least id leads.
+        """
+        full = buckets.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+        crowded = stored(buckets.join(full, "key"), "near-buckets")
+        met = crowded.groupBy("id").agg(F.sum("members").alias("met"))
+        first = crowded.join(met, "id").groupBy("key").agg(F.max(F.struct("met", -F.col("id")))["col2"].alias("least"))
+        first = first.select("key", (-F.col("least")).alias("lead"))
+        return stored(crowded.select("key", "id").join(first, "key"), "near-leads")
 
     def across(self, buckets: DataFrame) -> DataFrame:
-        """Pairs of members in different components that sizes and bits allow.
+        """Pairs of members in different components that may still link.
 
-        ``buckets`` has ``key, id, component, n, bits``. In each bucket the members
+        ``buckets`` has ``key, id, lead, component``. In each bucket the members
         outside its largest component meet all others, so members that links have
         joined already are never paired, however many they are.
         """
-        per = buckets.groupBy("key", "component").agg(F.count("*").alias("c"))
-        crowd = per.groupBy("key").agg(
-            F.count("*").alias("components"), F.max(F.struct("c", "component"))["component"].alias("base")
-        )
-        crowd = stored(crowd.where("components > 1"), "near-crowd")
-        strays = self._strays(buckets, crowd.where(F.col("components") <= FULL))
-        pairs = self._meet(strays, buckets)
+        crowd = stored(self._crowd(buckets), "near-crowd")
+        buckets = stored(buckets.join(crowd.select("key"), "key", "left_semi"), "near-parted")
+        self.lines = self.outlines(buckets.select("lead", "id").distinct())
+        pairs = self._meet(buckets, crowd.where(F.col("components") <= FULL))
         over = crowd.where(F.col("components") > FULL).select("key")
         if not over.take(1):
             return pairs
@@ -200,25 +197,83 @@ class _Search:
         split = buckets.join(over, "key", "left_semi").join(further, "id")
         split = split.withColumn("key", F.xxhash64("key", "place", "next")).select(*buckets.columns)
         split = stored(split, "near-split")
-        per = split.groupBy("key", "component").agg(F.count("*").alias("c"))
-        crowd = per.groupBy("key").agg(
-            F.count("*").alias("components"), F.max(F.struct("c", "component"))["component"].alias("base")
+        return pairs.union(self._meet(split, self._crowd(split)))
+
+    def _crowd(self, buckets: DataFrame) -> DataFrame:
+        """``key, components, base`` of the buckets that two or more components meet in."""
+        per = buckets.groupBy("key", "component").agg(F.count("*").alias("c"))
+        most = F.max(F.struct("c", "component"))["component"].alias("base")
+        return per.groupBy("key").agg(F.count("*").alias("components"), most).where("components > 1")
+
+    def outlines(self, pairs: DataFrame) -> DataFrame:
+        """``lead, id, lead_n, more, less, added`` of the ``lead, id`` pairs.
+
+        ``less`` and ``more`` are bitmaps of the shingles that the member lacks of its
+        leader's and has beside them, ``added`` the number of the latter.
+        """
+        wanted = pairs.select(F.explode(F.array("lead", "id")).alias("doc_id")).distinct()
+        sets = stored(shingle_sets(self.texts.join(wanted, "doc_id", "left_semi"), self.width), "near-members")
+        met = pairs.join(sets.toDF("id", "own"), "id").join(sets.toDF("lead", "led"), "lead")
+        return stored(
+            met.select(
+                "lead",
+                "id",
+                F.size("led").alias("lead_n"),
+                F.array_except("led", "own").alias("__less"),
+                F.array_except("own", "led").alias("__more"),
+            ).select(
+                "lead",
+                "id",
+                "lead_n",
+                F.size("__more").alias("added"),
+                bitmap(F.col("__less")).alias("less"),
+                bitmap(F.col("__more")).alias("more"),
+            ),
+            "near-outlines",
         )
-        return pairs.union(self._meet(self._strays(split, crowd.where("components > 1")), split))
 
-    def _strays(self, buckets: DataFrame, crowd: DataFrame) -> DataFrame:
-        base = crowd.select(F.col("key").alias("crowd"), "base")
-        on = (F.col("key") == F.col("crowd")) & (F.col("component") != F.col("base"))
-        return buckets.select("key", "id", "component").join(base, on).select("key", "id", "component")
+    def may_overlap(self) -> Column:
+        """Whether outlines against one leader leave room for a link.
 
-    def _meet(self, strays: DataFrame, buckets: DataFrame) -> DataFrame:
-        about = self.reps.select("id", "n", "bits")
-        a = self.side(stored(strays, "near-strays").join(about, "id"), "a")
-        b = self.side(buckets, "b")
-        on = (F.col("key_a") == F.col("key_b")) & (F.col("component_a") != F.col("component_b")) & self.may_link()
+        Two sets share, of the leader's shingles, those that neither lacks, and of
+        the others at most those whose bits both have. Bitmaps can only hide a
+        difference, so no link is lost.
+        """
+
+        def over(name: str, what: Callable[[Column, Column], Column]) -> Column:
+            at = [(F.get(F.col(f"{name}_a"), F.lit(i)), F.get(F.col(f"{name}_b"), F.lit(i))) for i in range(MAP_WORDS)]
+            return sum((F.bit_count(what(x, y)) for x, y in at), F.lit(0))
+
+        lacking = over("less", lambda x, y: x.bitwiseOR(y))
+        alone_a = over("more", lambda x, y: x.bitwiseAND(F.bitwise_not(y)))
+        alone_b = over("more", lambda x, y: y.bitwiseAND(F.bitwise_not(x)))
+        beside = F.least(F.col("added_a") - alone_a, F.col("added_b") - alone_b)
+        both = F.col("lead_n_a") - lacking + beside
+        return (100 + self.percent) * both >= self.percent * (F.col("n_a") + F.col("n_b"))
+
+    def _meet(self, buckets: DataFrame, crowd: DataFrame) -> DataFrame:
+        about = self.lines.join(self.reps.select("id", "n", "bits"), "id")
+        base = crowd.select("key", "base")
+        rows = stored(buckets.join(base, "key").join(about, ["lead", "id"]), "near-met")
+        a = self.side(rows.where("component <> base").drop("base"), "a")
+        b = self.side(rows.drop("base"), "b")
+        on = (F.col("key_a") == F.col("key_b")) & (F.col("component_a") != F.col("component_b"))
+        on &= self.may_link() & self.may_overlap()
         return a.join(b, on).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
+def bitmap(values: Column) -> Column:
+    """``MAP_WORDS`` integers with a bit set for each of the hashed values."""
+
+    def word(w: int) -> Column:
+        # A shingle is a hash already: its lowest bits name the word, the next six the bit.
+        own = F.filter(values, lambda v: v.bitwiseAND(F.lit(MAP_WORDS - 1)) == w)
+        bit = lambda v: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(v, 16).bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda x, v: x.bitwiseOR(bit(v)))
+
+    return F.array(*[word(w) for w in range(MAP_WORDS)])
+
+
 def near_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -236,9 +291,11 @@ def near_groups(
 
     Equal sets (128-bit digests of whole sets) form a class first, and only its
     smallest id goes on. A bucket is the representatives with one band key. Each
-    member is compared with its bucket's least id, by size and signature bits, then
-    by full sets. Where links then leave several components in a bucket, the members
-    outside the largest are compared with all those of other components. A bucket
+    member is compared with its bucket's leader, by size and signature bits, then by
+    full sets. Where links then leave several components in a bucket, the members
+    outside the largest are compared with all those of other components: what each
+    lacks of the leader's set and has beside it bounds what two can share, and full
+    sets decide where the bound leaves room. A bucket
     with over 512 components is split by each other band key first, so a passage that
     very many otherwise different documents share does not lead to all their pairs;
     a pair that links there by this one band alone, of 40, is the one case left out
@@ -265,11 +322,13 @@ def near_groups(
     nodes = reps.dropDuplicates(["id"])
     search = _Search(nodes, texts.where("doc_id is not null"), width, percent, bands * rows)
     keyed = reps.select("id", F.posexplode("bands").alias("band", "low")).select(F.xxhash64("band", "low").alias("key"), "id")
-    links = search.links(search.leaders(keyed)).union(own)
+    buckets = search.leaders(keyed)
+    led = buckets.where("id <> lead")
+    led = led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+    links = search.links(led).union(own)
     of = stored(components(links), "near-components")
-    labelled = reps.join(of, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    buckets = labelled.select("id", "component", "n", "bits", F.posexplode("bands").alias("band", "low"))
-    buckets = buckets.select(F.xxhash64("band", "low").alias("key"), "id", "component", "n", "bits")
+    labelled = buckets.join(of, "id", "left")
+    buckets = labelled.select("key", "id", "lead", F.coalesce("component", "id").alias("component"))
     more = search.links(search.across(buckets))
     if more.take(1):
         stars = of.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
