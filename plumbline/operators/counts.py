@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions.terms import share
 from plumbline.operators.ranks import melt
@@ -40,18 +40,45 @@ def distinct_count(df: DataFrame, column: str, rsd: float | None = None) -> Data
     return df.agg(agg.alias("n_distinct"))
 
 
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which values of two columns are compared.
+
+    Whole numbers meet as long, numbers of different kinds as double, so that
+    class 0 is class 0.0. A type paired with itself stays; all else meets as text.
+    """
+    if a == b:
+        return a
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return T.LongType()
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def in_type(c: Column, data_type: T.DataType) -> Column:
+    """The column in that type; minus zero becomes zero."""
+    c = c.cast(data_type)
+    return c + F.lit(0.0).cast(data_type) if isinstance(data_type, (T.FloatType, T.DoubleType)) else c
+
+
 def count_table(ref: DataFrame, prod: DataFrame, columns: list) -> DataFrame:
     """``feature, value, n_ref, n_prod`` for many columns, in one shuffle.
 
     A column is a name, or a ``(feature, reference column, production column)``
     triple. Missing values form their own group. A value absent on one side
     counts 0 there, so this table stands in for the full outer, semi and anti
-    joins of the two value sets, and matches missing with missing.
+    joins of the two value sets, and matches missing with missing. ``value`` is
+    the text of the value in the ``common_type`` of both columns.
     """
     triples = [c if isinstance(c, tuple) else (c, c, c) for c in columns]
 
     def side(df: DataFrame, pick: int, is_ref: bool) -> DataFrame:
-        renamed = df.select(*[F.col(f"`{t[pick]}`").alias(t[0]) for t in triples])
+        renamed = df.select(
+            *[
+                in_type(F.col(f"`{t[pick]}`"), common_type(ref.schema[t[1]].dataType, prod.schema[t[2]].dataType)).alias(t[0])
+                for t in triples
+            ]
+        )
         return melt(renamed, [t[0] for t in triples], "string").withColumn("is_ref", F.lit(is_ref))
 
     both = side(ref, 1, True).unionByName(side(prod, 2, False))
@@ -81,18 +108,9 @@ def common_values(counts: DataFrame) -> DataFrame:
     return counts.where("value is not null and n_ref > 0 and n_prod > 0")
 
 
-def new_value_examples(counts: DataFrame, k: int = 20) -> DataFrame:
-    """Per feature the number of new values and its ``k`` most frequent ones.
-
-    The complete list is ``new_values``; this is its extract for messages.
-    """
-    fresh = new_values(counts)
-    order = Window.partitionBy("feature").orderBy(F.desc("n_prod"), "value")
-    top = fresh.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-    listed = F.array_join(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), ", "
-    )
-    return top.groupBy("feature").agg(listed.alias("examples"))
+def new_category_list(ref: DataFrame, prod: DataFrame, columns: list) -> DataFrame:
+    """``feature, value, n_prod``: every value that production has and the reference lacks."""
+    return new_values(count_table(ref, prod, columns)).select("feature", "value", "n_prod")
 
 
 def aligned_top(ref: DataFrame, prod: DataFrame, column: str, k: int = 10, normalize: bool = True) -> DataFrame:
@@ -116,10 +134,13 @@ def aligned_top(ref: DataFrame, prod: DataFrame, column: str, k: int = 10, norma
 
 
 def compare_shares(ref: DataFrame, prod: DataFrame, ref_column: str, prod_column: str) -> DataFrame:
-    """Shares of every class on both sides, 0 where absent, sorted by class."""
+    """Shares of every class on both sides, 0 where absent, sorted by class.
+
+    ``value`` has the ``common_type`` of the two columns.
+    """
     counts = count_table(ref, prod, [("class", ref_column, prod_column)]).where("value is not null")
     total = one_row(counts.agg(F.sum("n_ref").alias("ref"), F.sum("n_prod").alias("prod")))
-    data_type = ref.schema[ref_column].dataType
+    data_type = common_type(ref.schema[ref_column].dataType, prod.schema[prod_column].dataType)
 
     def part(n: str, of: Column) -> Column:
         return F.coalesce(share(F.col(n), of), F.lit(0.0))

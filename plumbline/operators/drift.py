@@ -164,7 +164,7 @@ def category_summary(counts: DataFrame) -> DataFrame:
         totals.join(F.broadcast(chi), "feature", "left")
         .withColumn("chi2", F.when(tested, F.col("chi2")))
         .withColumn("chi2_df", F.when(tested, F.col("common") - 1))
-        .withColumn("chi2_pvalue", terms.chi_square_p_value("chi2", F.col("chi2_df").cast("double")))
+        .withColumn("chi2_pvalue", terms.chi_square_p_value(F.col("chi2"), F.col("chi2_df")))
     )
 
 

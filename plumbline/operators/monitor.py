@@ -220,10 +220,10 @@ def alert_board(metrics: DataFrame, stats: DataFrame, cfg: MonitorConfig = Monit
     limit = F.col("threshold").cast("string")
     near = psi & ~F.col("alert") & (F.col("value") > F.col("threshold") * cfg.warning_share)
     message = (
-        F.when(near, F.concat(F.lit("Category PSI approaching threshold ("), value, F.lit(" / "), limit, F.lit(")")))
-        .when(psi, F.concat(F.lit("Category distribution drift detected (PSI: "), value, F.lit(" > "), limit, F.lit(")")))
-        .when(ratio, F.concat(F.lit("High cardinality growth detected (ratio: "), value, F.lit(" > "), limit, F.lit(")")))
-        .otherwise(F.concat(F.lit("Prediction distribution drift detected (KL: "), value, F.lit(" > "), limit, F.lit(")")))
+        F.when(near, F.concat(F.lit("Categories are close to shifting: PSI "), value, F.lit(", limit "), limit))
+        .when(psi, F.concat(F.lit("Categories have shifted: PSI "), value, F.lit(", limit "), limit))
+        .when(ratio, F.concat(F.lit("Distinct values have grown: ratio "), value, F.lit(", limit "), limit))
+        .otherwise(F.concat(F.lit("Predictions have shifted: KL "), value, F.lit(", limit "), limit))
     )
     system = metrics.where(F.col("alert") | near).select(
         F.when(F.col("alert"), "critical").otherwise("warning").alias("level"),
@@ -237,7 +237,7 @@ def alert_board(metrics: DataFrame, stats: DataFrame, cfg: MonitorConfig = Monit
         F.concat(F.lit("Feature: "), F.col("feature")).alias("metric"),
         F.concat(F.lit("PSI: "), fixed_format(F.col("psi"))).alias("value"),
         F.lit("N/A").alias("threshold"),
-        F.concat(F.lit("Drift detected in feature '"), F.col("feature"), F.lit("'")).alias("message"),
+        F.concat(F.lit("Feature "), F.col("feature"), F.lit(" has shifted")).alias("message"),
     )
     return system.unionByName(features)
 

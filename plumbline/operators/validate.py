@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.operators.counts import align_with_counts, count_table, new_value_examples
+from plumbline.operators.counts import align_with_counts, count_table
 from plumbline.operators.drift import category_summary
 from plumbline.operators.profile import Profile, moments, numeric_long, outlier_shares
 from plumbline.schemas import NOT_FEATURES, category_columns, numeric_columns
@@ -67,7 +67,7 @@ def _rows_of(df: DataFrame, checks: list[Column]) -> DataFrame:
 def _empty_check() -> Column:
     return _row(
         "empty_column", "failed", "alert", None, None, None, None,
-        F.concat(F.lit("Column "), F.col("feature"), F.lit(" is empty in production data")),
+        F.concat(F.lit("Production has no value in "), F.col("feature")),
     )
 
 
@@ -119,28 +119,28 @@ def numeric_checks(
                 F.col("r_mean"),
                 F.col("p_mean"),
                 F.col("mean_shift"),
-                F.when(moved, F.concat(F.lit("Mean shift of "), _percent(F.col("mean_shift")), F.lit(" detected"))),
+                F.when(moved, F.concat(F.lit("The mean moved by "), _percent(F.col("mean_shift")))),
             ),
         ),
         F.when(
             F.col("std_shift") > tolerance,
             _row(
                 "std_shift", "failed", "warning", None, F.col("r_std"), F.col("p_std"), F.col("std_shift"),
-                F.concat(F.lit("Std deviation shift of "), _percent(F.col("std_shift")), F.lit(" detected")),
+                F.concat(F.lit("The standard deviation moved by "), _percent(F.col("std_shift"))),
             ),
         ),
         F.when(
             F.col("outlier_pct") > OUTLIER_LIMIT,
             _row(
                 "outliers", "warning", "warning", None, None, F.col("outliers"), F.col("outlier_pct"),
-                F.concat(_percent(F.col("outlier_pct")), F.lit(" outliers detected")),
+                F.concat(_percent(F.col("outlier_pct")), F.lit(" of the values lie outside the fences")),
             ),
         ),
         F.when(
             F.abs("p_skewness") > skew_limit,
             _row(
                 "skewness", "warning", "warning", None, F.col("r_skewness"), F.col("p_skewness"), F.col("p_skewness"),
-                F.format_string("High skewness detected: %.2f", F.col("p_skewness")),
+                F.format_string("Skewness %.2f is beyond the limit", F.col("p_skewness")),
             ),
         ),
         F.when(
@@ -149,8 +149,8 @@ def numeric_checks(
                 "missing_values", "warning", "warning", None, F.col("r_missing"), F.col("p_missing"),
                 F.col("p_missing"),
                 F.concat(
-                    F.lit("Missing values increased from "), _percent(F.col("r_missing")),
-                    F.lit(" to "), _percent(F.col("p_missing")),
+                    F.lit("Missing share "), _percent(F.col("p_missing")),
+                    F.lit(" against "), _percent(F.col("r_missing")),
                 ),
             ),
         ),
@@ -159,21 +159,17 @@ def numeric_checks(
 
 
 def category_checks(counts: DataFrame) -> DataFrame:
-    """Checks of text columns from the aligned counts of both tables."""
+    """Checks of text columns from the aligned counts of both tables.
+
+    Messages give the number of new values; ``counts.new_values`` lists them all.
+    """
     f = (
         category_summary(counts)
         .where("ref_rows > 0")
-        .join(F.broadcast(new_value_examples(counts)), "feature", "left")
         .withColumn("type", F.lit("categorical"))
         .withColumn("new_share", F.col("new_rows") / F.nullif(F.col("prod_rows").cast("double"), F.lit(0.0)))
     )
     high = F.col("new_share") > NEW_VALUE_LIMIT
-    more = F.col("new_values") - 20
-    listed = F.concat(
-        F.lit("New categories detected: "),
-        F.col("examples"),
-        F.when(more > 0, F.format_string(" and %d more", more)).otherwise(""),
-    )
     checks = [
         F.when(F.col("prod_rows") == 0, _empty_check()),
         F.when(
@@ -186,8 +182,10 @@ def category_checks(counts: DataFrame) -> DataFrame:
                 None,
                 F.col("new_values"),
                 F.col("new_share"),
-                F.when(high, F.concat(_percent(F.col("new_share")), F.lit(" of data in new categories"))).otherwise(
-                    listed
+                F.format_string(
+                    "%d values unknown to the reference, in %.2f%% of the rows",
+                    F.col("new_values"),
+                    F.col("new_share") * 100.0,
                 ),
             ),
         ),
@@ -196,7 +194,7 @@ def category_checks(counts: DataFrame) -> DataFrame:
             _row(
                 "distribution_shift", "failed", "alert", "medium", F.col("chi2_df"), F.col("chi2"),
                 F.col("chi2_pvalue"),
-                F.format_string("Significant distribution shift (p=%.4f)", F.col("chi2_pvalue")),
+                F.format_string("Shares differ from the reference, p = %.4f", F.col("chi2_pvalue")),
             ),
         ),
     ]
@@ -205,7 +203,7 @@ def category_checks(counts: DataFrame) -> DataFrame:
 
 def missing_column_checks(features: DataFrame) -> DataFrame:
     """Warnings for ``feature, type`` rows that production lacks."""
-    message = F.concat(F.lit("Column "), F.col("feature"), F.lit(" missing in production data"))
+    message = F.concat(F.lit("Production lacks the column "), F.col("feature"))
     return _rows_of(features, [_row("missing_column", "warning", "warning", None, None, None, None, message)])
 
 

@@ -73,6 +73,17 @@ def class_share_compare(spark, sf_dir):
     return tidy(out, 9)
 
 
+@query(
+    "class_share_compare_mixed_types",
+    f"""WITH {HALVES} SELECT v::DOUBLE AS value, round(e, 9) AS reference, round(a, 9) AS production
+       FROM {shares_sql('price_category', 'prediction', True)}""",
+)
+def class_share_compare_mixed_types(spark, sf_dir):
+    """Whole-number classes against predictions that are doubles."""
+    prod = prod_orders(spark, sf_dir).withColumn("prediction", F.col("prediction").cast("double"))
+    return tidy(K.compare_shares(ref_orders(spark, sf_dir), prod, "price_category", "prediction"), 9)
+
+
 @query(
     "cardinality_growth",
     f"""WITH {HALVES} SELECT 'reference' AS dataset, count(DISTINCT address) AS unique_values FROM ref

@@ -22,6 +22,7 @@ from plumbline.plans.catalogue.base import (
     table,
     tidy,
 )
+from plumbline.operators.counts import new_category_list as new_category_table
 from plumbline.session import scratch_path
 
 CFG = M.MonitorConfig(category="priority", high_cardinality="address")
@@ -51,6 +52,14 @@ def prediction_kl(spark, sf_dir):
     return tidy(D.prediction_kl(*_halves(spark, sf_dir), "price_category", "prediction"))
 
 
+@query("prediction_kl_mixed_types", f"WITH {HALVES} SELECT round({kl_sql('price_category', 'prediction', 3)}, 6) AS kl")
+def prediction_kl_mixed_types(spark, sf_dir):
+    """Whole-number classes against predictions that are doubles."""
+    ref, prod = _halves(spark, sf_dir)
+    prod = prod.withColumn("prediction", F.col("prediction").cast("double"))
+    return tidy(D.prediction_kl(ref, prod, "price_category", "prediction"))
+
+
 @query(
     "cardinality_ratio",
     f"""WITH {HALVES}, c AS (SELECT (SELECT count(DISTINCT address) FROM ref) AS r, (SELECT count(DISTINCT address) FROM prod) AS p)
@@ -204,21 +213,32 @@ def validation_by_profile(spark, sf_dir):
 @query(
     "validation_messages",
     f"""WITH {CHECKS_SQL} SELECT feature, check_name AS "check", CASE check_name
-         WHEN 'mean_shift' THEN CASE WHEN level = 'alert' THEN printf('Mean shift of %.2f%% detected', value * 100) END
-         WHEN 'std_shift' THEN printf('Std deviation shift of %.2f%% detected', value * 100)
-         WHEN 'outliers' THEN printf('%.2f%% outliers detected', value * 100)
-         WHEN 'skewness' THEN printf('High skewness detected: %.2f', value)
-         WHEN 'missing_values' THEN printf('Missing values increased from %.2f%% to %.2f%%', ref_value * 100, prod_value * 100)
-         WHEN 'empty_column' THEN 'Column gone is empty in production data'
-         WHEN 'missing_column' THEN 'Column region missing in production data'
-         WHEN 'new_categories' THEN CASE WHEN level = 'alert' THEN printf('%.2f%% of data in new categories', value * 100)
-           ELSE 'New categories detected: 9-NEW' END
-         ELSE printf('Significant distribution shift (p=%.4f)', value) END AS message FROM checks""",
+         WHEN 'mean_shift' THEN CASE WHEN level = 'alert' THEN printf('The mean moved by %.2f%%', value * 100) END
+         WHEN 'std_shift' THEN printf('The standard deviation moved by %.2f%%', value * 100)
+         WHEN 'outliers' THEN printf('%.2f%% of the values lie outside the fences', value * 100)
+         WHEN 'skewness' THEN printf('Skewness %.2f is beyond the limit', value)
+         WHEN 'missing_values' THEN printf('Missing share %.2f%% against %.2f%%', prod_value * 100, ref_value * 100)
+         WHEN 'empty_column' THEN 'Production has no value in gone'
+         WHEN 'missing_column' THEN 'Production lacks the column region'
+         WHEN 'new_categories' THEN printf('%d values unknown to the reference, in %.2f%% of the rows', prod_value::BIGINT, value * 100)
+         ELSE printf('Shares differ from the reference, p = %.4f', value) END AS message FROM checks""",
 )
 def validation_messages(spark, sf_dir):
     return V.validate(*_checks_inputs(spark, sf_dir)).select("feature", "check", "message")
 
 
+@query(
+    "new_category_list",
+    f"""WITH {HALVES} SELECT 'address' AS feature, address AS value, count(*) AS n_prod FROM prod
+       WHERE address IS NOT NULL AND address NOT IN (SELECT address FROM ref WHERE address IS NOT NULL) GROUP BY address
+       UNION ALL SELECT 'priority', priority, count(*) FROM prod
+       WHERE priority IS NOT NULL AND priority NOT IN (SELECT priority FROM ref WHERE priority IS NOT NULL) GROUP BY priority""",
+)
+def new_category_list(spark, sf_dir):
+    """Every address and priority that only the later half has."""
+    return new_category_table(*_halves(spark, sf_dir), ["address", "priority"])
+
+
 @query(
     "validation_summary",
     f"""WITH {CHECKS_SQL} SELECT count(*) FILTER (level = 'alert') = 0 AS passed, count(*) FILTER (level = 'alert') AS alerts,
@@ -231,10 +251,10 @@ def validation_summary(spark, sf_dir):
 @query(
     "validation_report",
     f"""WITH {CHECKS_SQL}, a AS (SELECT row_number() OVER (ORDER BY feature, check_name) AS i, feature, check_name,
-           CASE check_name WHEN 'mean_shift' THEN printf('Mean shift of %.2f%% detected', value * 100)
-             WHEN 'empty_column' THEN 'Column gone is empty in production data'
-             WHEN 'new_categories' THEN printf('%.2f%% of data in new categories', value * 100)
-             ELSE printf('Significant distribution shift (p=%.4f)', value) END AS message FROM checks WHERE level = 'alert'),
+           CASE check_name WHEN 'mean_shift' THEN printf('The mean moved by %.2f%%', value * 100)
+             WHEN 'empty_column' THEN 'Production has no value in gone'
+             WHEN 'new_categories' THEN printf('%d values unknown to the reference, in %.2f%% of the rows', prod_value::BIGINT, value * 100)
+             ELSE printf('Shares differ from the reference, p = %.4f', value) END AS message FROM checks WHERE level = 'alert'),
          c AS (SELECT count(*) FILTER (level = 'alert') AS alerts, count(*) FILTER (level = 'warning') AS warnings FROM checks)
        SELECT 0 AS line, 'Status: ' || CASE WHEN alerts = 0 THEN '✅ Passed' ELSE '❌ Failed' END AS text FROM c
        UNION ALL SELECT 1, 'Alerts: ' || alerts FROM c UNION ALL SELECT 2, 'Warnings: ' || warnings FROM c
@@ -362,13 +382,13 @@ def feature_table(spark, sf_dir):
          SELECT *, CASE WHEN metric = 'cardinality_ratio' THEN printf('%.2f', value) ELSE printf('%.4f', value) END AS shown,
            threshold::DOUBLE::VARCHAR AS limit_text FROM metrics)
        SELECT CASE WHEN value > threshold THEN 'critical' ELSE 'warning' END AS level, metric, shown AS value, limit_text AS threshold,
-         CASE WHEN metric = 'category_psi' AND value <= threshold THEN 'Category PSI approaching threshold (' || shown || ' / ' || limit_text || ')'
-           WHEN metric = 'category_psi' THEN 'Category distribution drift detected (PSI: ' || shown || ' > ' || limit_text || ')'
-           WHEN metric = 'cardinality_ratio' THEN 'High cardinality growth detected (ratio: ' || shown || ' > ' || limit_text || ')'
-           ELSE 'Prediction distribution drift detected (KL: ' || shown || ' > ' || limit_text || ')' END AS message
+         CASE WHEN metric = 'category_psi' AND value <= threshold THEN 'Categories are close to shifting: PSI ' || shown || ', limit ' || limit_text
+           WHEN metric = 'category_psi' THEN 'Categories have shifted: PSI ' || shown || ', limit ' || limit_text
+           WHEN metric = 'cardinality_ratio' THEN 'Distinct values have grown: ratio ' || shown || ', limit ' || limit_text
+           ELSE 'Predictions have shifted: KL ' || shown || ', limit ' || limit_text END AS message
        FROM t WHERE value > threshold OR (metric = 'category_psi' AND value > threshold * 0.8)
        UNION ALL SELECT 'alert', 'Feature: ' || feature, 'PSI: ' || printf('%.4f', psi), 'N/A',
-         'Drift detected in feature ''' || feature || '''' FROM s WHERE drift_detected""",
+         'Feature ' || feature || ' has shifted' FROM s WHERE drift_detected""",
 )
 def alert_board(spark, sf_dir):
     stats = M.feature_statistics(*_stats_inputs(spark, sf_dir), CFG)
