@@ -247,6 +247,26 @@ def csv_roundtrip(spark, sf_dir):
     return C.clean_listings(read_listings(spark, path, schema)).select(CLEANED)
 
 
+@query(
+    "csv_by_name",
+    f"""WITH {CLEAN_LISTINGS_SQL} SELECT listing_id, district || ', "' || "HeatingType" || '"' AS district, address,
+         CASE WHEN listing_id % 3 <> 0 THEN "HeatingType" END AS "HeatingType", NULL::VARCHAR AS "FloorLocation" FROM listings""",
+)
+def csv_by_name(spark, sf_dir):
+    """Columns in another order, one absent, one unknown, doubled quotes, and missing-value texts."""
+    path = scratch_path(spark, "shuffled")
+    quoted = F.concat(F.col("district"), F.lit(', "'), F.col("HeatingType"), F.lit('"'))
+    C.clean_listings(listings_text(spark, sf_dir)).select(
+        F.when(F.col("listing_id") % 3 != 0, F.col("HeatingType")).otherwise("N/A").alias("HeatingType"),
+        "address",
+        F.lit("unknown").alias("not_a_field"),
+        quoted.alias("district"),
+        "listing_id",
+    ).write.options(header=True, escape='"').csv(path)
+    schema = T.StructType([T.StructField("listing_id", T.LongType()), *RAW_LISTING.fields[1:]])
+    return read_listings(spark, path, schema).select("listing_id", "district", "address", "HeatingType", "FloorLocation")
+
+
 @query(
     "snapshot",
     f"""WITH {CLEAN_LISTINGS_SQL},

@@ -8,9 +8,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from plumbline.schemas import INDEX_COLUMN, RAW_LISTING
 
 
-def read_listings(spark: SparkSession, path: str, schema: T.StructType = RAW_LISTING) -> DataFrame:
-    """CSV with header; every field as text, the scraped row index dropped."""
-    return spark.read.schema(schema).option("header", True).csv(path).drop(INDEX_COLUMN)
+# Texts that stand for a missing field.
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+    "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
+def read_listings(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_LISTING, multiline: bool = False
+) -> DataFrame:
+    """CSV with header, in the fields of ``schema`` and found by name; the scraped row index is left out.
+
+    A field that the header lacks is null, as is every text of ``MISSING_TEXTS``;
+    columns that the schema lacks are not read. Quotes inside a quoted field are
+    doubled. ``multiline`` allows line breaks there, at the price that a file is
+    no longer split. All files of a path share one header.
+    """
+    raw = spark.read.options(header=True, escape='"', multiLine=multiline).csv(path)
+
+    def field(f: T.StructField) -> Column:
+        if f.name not in raw.columns:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        c = F.col(f"`{f.name}`")
+        return F.when(~c.isin(MISSING_TEXTS), c).try_cast(f.dataType).alias(f.name)
+
+    return raw.select(*[field(f) for f in schema if f.name != INDEX_COLUMN])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
