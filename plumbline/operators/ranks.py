@@ -25,8 +25,9 @@ from plumbline.session import broadcast_checked, cut_lineage
 SKETCH_ACCURACY = 2_000
 # Half width of a bracket as a share of the rows: five times the sketch's error.
 MARGIN = 5 / SKETCH_ACCURACY
-# Below this many rows the bracket is the whole range.
-SMALL_GROUP = 20_000
+# With fewer rows the margin is below two rows, too thin for the two neighbours of a
+# rank; such a bracket is the whole range.
+SMALL_GROUP = int(2 / MARGIN)
 CELLS = 1024
 
 
@@ -133,9 +134,16 @@ def order_statistics(
     )
     per_cell = counts.groupBy(*facts, "cell").agg(F.sum("c").alias("cell_rows"))
     cells_in_order = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    rows_of = F.sum(F.when(F.col("cell") < 0, F.col("cell_rows")).otherwise(0)).over(Window.partitionBy(*group))
+    all_of = F.sum("cell_rows").over(Window.partitionBy(*group))
+    # A bracket that misses its rank is an error, never a group that vanishes.
+    caught = (F.col("r0") >= F.col("below")) & (F.col("r1") < F.col("reached"))
+    missed = F.raise_error(F.lit("a bracket of the sketch misses its rank")).cast("boolean")
+    wanted = F.expr("cell >= 0 and r1 >= before and r0 < before + cell_rows")
     hit = (
         per_cell.withColumn("before", F.coalesce(F.sum("cell_rows").over(cells_in_order), F.lit(0)))
-        .where("cell >= 0 and r1 >= before and r0 < before + cell_rows")
+        .withColumns({"below": rows_of, "reached": all_of})
+        .where(F.when(caught, wanted).otherwise(missed))
         .select(*group, "cell", "before")
     )
     # Null-safe on the cell as well: a plain equality would push ``cell >= 0`` below
@@ -165,14 +173,18 @@ def exact_quantiles(
     probs: list[float],
     by: list[str] | None = None,
     sketch: DataFrame | None = None,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles, one row per group: ``by…, n, q0, q1, …``.
 
     Missing values are skipped; a group without values has no row. Without
     ``by`` the result always has one row, with nulls on empty input. ``sketch``
     is the result of ``sketch_columns`` for the same groups and ``probs``.
+    ``bounded`` as in ``order_statistics``; keys are held to be data unless a
+    sketch per schema column is given.
     """
     by = by or []
+    bounded = (not by or sketch is not None) if bounded is None else bounded
 
     def target(p: float):
         return (
@@ -183,7 +195,7 @@ def exact_quantiles(
 
     # The ends are known from the sketch; only inner quantiles need counting.
     inner = [p for p in probs if 0 < p < 1] or [0.5]
-    values = order_statistics(df, value, [target(p) for p in inner], by, sketch=sketch)
+    values = order_statistics(df, value, [target(p) for p in inner], by, bounded, sketch)
 
     def pick(column: str, i: int) -> Column:
         return F.max(F.when(F.col("target") == i, F.col(column).cast("double")))

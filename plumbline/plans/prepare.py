@@ -67,6 +67,9 @@ def prepare(
 ) -> Prepared:
     """Clean, cross, label, snapshot, split, fit on train, transform, write.
 
+    The snapshot has every row; rows without a price class, null there, stay out
+    of train and test.
+
     ``key`` identifies a raw row. The raw text is parsed once: the cleaned table
     is written, and the boundaries, the split, the fit and the outputs all read
     the few columns they need from it.
@@ -75,8 +78,8 @@ def prepare(
     clean_priced(raw).write.mode("overwrite").parquet(f"{folder}/cleaned")
     cleaned = read_table(spark, f"{folder}/cleaned")
     edges = fit_quantile_edges(cleaned, "price")
-    labelled = assign_classes(cleaned, "price", TARGET, edges).drop("price").where(F.col(TARGET).isNotNull())
-    rows = stratified_split(labelled, key, TARGET, test_share, seed)
+    labelled = assign_classes(cleaned, "price", TARGET, edges).drop("price")
+    rows = stratified_split(labelled.where(F.col(TARGET).isNotNull()), key, TARGET, test_share, seed)
     result = Prepared(folder, None)
     write_snapshot(labelled, result.snapshot, snapshot_columns or [*ALL_FEATURES, TARGET])
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
