@@ -165,7 +165,7 @@ def weighted_rows(spark, sf_dir):
 )
 def prepare_features(spark, sf_dir):
     """The whole preparation on listings; rows per part and class of what it wrote."""
-    done = prepare(listings_text(spark, sf_dir), "listing_id", scratch_path(spark, "prepared"), slots=1024)
+    done = prepare(listings_text(spark, sf_dir), "listing_id", scratch_path(spark, "prepared"))
 
     def rows(path: str, part: str):
         counts = read_table(spark, path).groupBy(F.col("label").cast("int").alias("label")).agg(F.count("features").alias("n"))

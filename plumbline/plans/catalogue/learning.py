@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from plumbline.functions.cleaning import clean_listings
 from plumbline.operators.features import feature_pipeline, plain_split, split_key
-from plumbline.operators.metrics import confusion_matrix
 from plumbline.plans import training as L
 from plumbline.plans.catalogue.base import listings_text, query, table, tidy
 from plumbline.plans.evaluation import continuous_evaluation as evaluate_continuously, evaluate_model as evaluate
-from plumbline.plans.prepare import label_listings, prepare
+from plumbline.plans.prepare import Prepared, prepare
 from plumbline.plans.scoring import score
 from plumbline.schemas import REQUEST
 from plumbline.session import scratch_path
@@ -42,22 +42,22 @@ def train_baseline(spark, sf_dir):
 @query("train_forest")
 def train_forest(spark, sf_dir):
     train, test = _vectors(spark, sf_dir)
-    return _report(L.train_forest(train, trees=40, max_depth=6), test)
+    return _report(L.train_forest(train), test)
 
 
 @query("forest_blocks")
 def forest_blocks(spark, sf_dir):
-    """Two blocks of trees, then a resumed run that adds a third."""
+    """Two blocks of trees, then a resumed run that adds those that are wanting."""
     train, test = _vectors(spark, sf_dir)
     folder = scratch_path(spark, "forest")
-    L.train_forest_blocks(train, folder, trees=40, block=20, max_depth=5)
-    return _report(L.train_forest_blocks(train, folder, trees=60, block=20, max_depth=5), test)
+    L.train_forest_blocks(train, folder, trees=2 * L.BLOCK)
+    return _report(L.train_forest_blocks(train, folder), test)
 
 
 @query("decision_tree")
 def decision_tree(spark, sf_dir):
     train, test = _vectors(spark, sf_dir)
-    return _report(L.train_tree(train, max_depth=8), test)
+    return _report(L.train_tree(train), test)
 
 
 def _price_rows(spark, sf_dir):
@@ -78,18 +78,28 @@ def _price_rows(spark, sf_dir):
 @query("boosted_trees")
 def boosted_trees(spark, sf_dir):
     rows = plain_split(_price_rows(spark, sf_dir), "o_orderkey")
-    model = L.train_boosted(rows.where(~F.col("is_test")), rounds=5, max_depth=3)
+    model = L.train_boosted(rows.where(~F.col("is_test")))
     return _report(model, rows.where("is_test"))
 
 
-def fitted_listings(spark, sf_dir, slots: int = 256):
-    """Prepared listings with fitted transforms and a small forest, both saved and loaded back."""
-    folder = scratch_path(spark, "model")
-    done = prepare(listings_text(spark, sf_dir), "listing_id", folder, slots=slots)
-    model = L.train_forest(read_table(spark, done.train), trees=20, max_depth=6)
-    save_model(model, f"{folder}/forest")
-    transforms = load_first([f"{folder}/no-such-model", f"{folder}/transforms"])
-    loaded = load_first([f"{folder}/forest"], type(model).load)
+# Where a session has left the model of a folder of tables: (application, folder) to preparation.
+_FITTED: dict[tuple[str, str], Prepared] = {}
+
+
+def fitted_listings(spark, sf_dir):
+    """Prepared listings with fitted transforms and a forest, both saved and loaded back.
+
+    A session trains once per folder of tables; its later queries load what that left.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _FITTED:
+        folder = scratch_path(spark, "model")
+        done = prepare(listings_text(spark, sf_dir), "listing_id", folder)
+        save_model(L.train_forest(read_table(spark, done.train)), f"{folder}/forest")
+        _FITTED[known] = done
+    done = _FITTED[known]
+    transforms = load_first([f"{done.folder}/no-such-model", f"{done.folder}/transforms"])
+    loaded = load_first([f"{done.folder}/forest"], RandomForestClassificationModel.load)
     return transforms, loaded, done
 
 
