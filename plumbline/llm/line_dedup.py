@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline.llm.common import col, slices, stored
 from plumbline.operators.ranks import running_totals
 
-# A run counts from so many words on.
+# A run counts from so many words on; a shorter one if its words times the documents
+# that have it come to what two documents with such a run come to.
 LEAST_WORDS = 50
 
-LINES = "doc_id bigint, tie bigint, pos int, line int, id1 bigint, id2 bigint, ahead int, back int"
+LINES = "doc_id bigint, tie bigint, pos int, line int, id1 bigint, id2 bigint, words int, ahead int, back int"
+WINDOWS = "doc_id bigint, tie bigint, pos int, size int, words int, id1 bigint, id2 bigint"
 
 
 def line_rows(texts: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -28,7 +30,7 @@ def line_rows(texts: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     def split(batches):
         for batch in batches:
             for part in slices(batch):
-                columns: list[list] = [[] for _ in range(8)]
+                columns: list[list] = [[] for _ in range(9)]
                 keys = zip(*(part.column(c).to_pylist() for c in ("doc_id", "tie", "text")))
                 for k, tie, text in keys:
                     found = [(i, x.strip(b" \t\n\r\x0b\f")) for i, x in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n"))]
@@ -36,7 +38,8 @@ def line_rows(texts: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
                     if not found:
                         continue
                     n = len(found)
-                    ends = np.cumsum([len(x.split()) for _, x in found])
+                    words = np.array([len(x.split()) for _, x in found])
+                    ends = np.cumsum(words)
                     starts = np.concatenate([[0], ends[:-1]])
                     at = np.arange(n)
                     last = np.searchsorted(ends, starts + least_words)
@@ -49,13 +52,14 @@ def line_rows(texts: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
                         [i for i, _ in found],
                         np.array([d >> 64 for d in digests], "u8").view("i8"),
                         np.array([d & (2**64 - 1) for d in digests], "u8").view("i8"),
+                        words,
                         np.where(last < n, last - at + 1, 0),
                         np.where(first >= 0, at - first + 1, 0),
                     )
                     for column, values in zip(columns, made):
                         column.extend(values)
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-                names = ["doc_id", "tie", "pos", "line", "id1", "id2", "ahead", "back"]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+                names = ["doc_id", "tie", "pos", "line", "id1", "id2", "words", "ahead", "back"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
     return texts.mapInArrow(split, LINES)
@@ -141,18 +145,91 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "tie", "pos")).alias("first"), F.count("*").alias("n"))
         .where("n > 1")
     )
+    return _later(known, firsts, keys)
+
+
+def _later(known: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """``doc_id, tie, pos, size`` of the windows but the first of each key, without what overlaps that one."""
     later = known.join(firsts, keys).where(~F.struct("doc_id", "tie", "pos").eqNullSafe(F.col("first")))
     own = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.tie") == F.col("tie"))
     begin = F.when(own, F.greatest(F.col("pos"), F.col("first.pos") + F.col("size"))).otherwise(F.col("pos"))
     return later.select("doc_id", "tie", begin.alias("pos"), (F.col("pos") + F.col("size") - begin).cast("int").alias("size"))
 
 
+def short_windows(lines: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """``doc_id, tie, pos, size, words, id1, id2``: runs under ``least_words`` that may be common enough.
+
+    A run is in no more documents than any of its lines, so it is left out if its
+    words times the documents of its rarest line are too few, and if each of its
+    lines is common enough alone. ``id1, id2`` are the 128-bit id of its line ids.
+    """
+    wanted = 2 * least_words
+    per = lines.select("id1", "id2", "doc_id", "tie").distinct().groupBy("id1", "id2").agg(F.count("*").alias("n"))
+    per = stored(per.where(F.col("n") * (least_words - 1) >= wanted), "common-lines")
+    found = F.sort_array(F.collect_list(F.struct("pos", "words", "n", "id1", "id2"))).alias("found")
+    common = lines.where(F.col("words") < least_words).join(per, ["id1", "id2"]).groupBy("doc_id", "tie").agg(found)
+
+    def runs(found: list[dict]):
+        ids = [(x["id1"] % 2**64).to_bytes(8, "big") + (x["id2"] % 2**64).to_bytes(8, "big") for x in found]
+        for i, x in enumerate(found):
+            words, docs, alone = 0, x["n"], True
+            for j in range(i, len(found)):
+                y = found[j]
+                words += y["words"]
+                if words >= least_words or y["pos"] != x["pos"] + j - i:
+                    break
+                docs = min(docs, y["n"])
+                alone = alone and y["words"] * y["n"] >= wanted
+                if words * docs >= wanted and (i == j or not alone):
+                    digest = xxhash.xxh3_128_intdigest(b"".join(ids[i : j + 1]))
+                    yield x["pos"], j - i + 1, words, digest >> 64, digest & (2**64 - 1)
+
+    def batch_of(rows: list[tuple]):
+        doc, tie, pos, size, words, id1, id2 = zip(*rows)
+        columns = [pa.array(doc, pa.int64()), pa.array(tie, pa.int64())]
+        columns += [pa.array(c, pa.int32()) for c in (pos, size, words)]
+        columns += [pa.array(np.array(c, "u8").view("i8")) for c in (id1, id2)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "pos", "size", "words", "id1", "id2"])
+
+    def listed(batches):
+        for batch in batches:
+            rows = []
+            for k, tie, found in zip(*(batch.column(c) for c in ("doc_id", "tie", "found"))):
+                for run in runs(found.as_py()):
+                    rows.append((k.as_py(), tie.as_py(), *run))
+                    if len(rows) == 100_000:
+                        yield batch_of(rows)
+                        rows = []
+            if rows:
+                yield batch_of(rows)
+
+    return common.mapInArrow(listed, WINDOWS)
+
+
+def common_runs(lines: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """``doc_id, tie, pos, size``: lines that repeat a short run which many documents have.
+
+    Copies within a document count as one, so that a document's own refrain stays.
+    Counts are taken per document first, so a run that all documents have is summed
+    in parts.
+    """
+    known = stored(short_windows(lines, least_words), "short-windows")
+    keys = ["size", "id1", "id2"]
+    each = known.groupBy(*keys, "words", "doc_id", "tie").agg(F.min("pos").alias("pos"))
+    firsts = each.groupBy(*keys, "words").agg(F.min(F.struct("doc_id", "tie", "pos")).alias("first"), F.count("*").alias("n"))
+    firsts = stored(firsts.where(F.col("words") * F.col("n") >= 2 * least_words).select(*keys, "first"), "short-firsts")
+    return _later(known, firsts, keys)
+
+
 def deduplicated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The rows of ``docs`` with their own columns, ``text`` without repeated runs, and
     ``__lines_removed``.
 
-    A line goes if it lies in a run of lines of ``least_words`` or more words that
-    occurs earlier in the corpus, documents in the order of their ids. Lines are
+    A line goes if it lies in a run of lines that occurs earlier in the corpus,
+    documents in the order of their ids, and that has ``least_words`` or more words,
+    or fewer if these times the documents that have the run are ``2 * least_words``
+    or more: a line of 10 words goes if 10 documents have it. What is rarer stays,
+    and so do short repeats within a document alone. Lines are
     equal but for spaces at either end; lines without words do not part a run, and
     stay. A column ``n_chars``, if there, follows the text.
 
@@ -164,7 +241,7 @@ def deduplicated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataF
         col("doc_id").alias("doc_id"), tie.alias("tie"), col("text").alias("text")
     )
     lines = stored(line_rows(texts, least_words).distinct(), "corpus-lines")
-    runs = repeated_runs(lines).where("size > 0")
+    runs = repeated_runs(lines).union(common_runs(lines, least_words)).where("size > 0")
     gone = runs.select("doc_id", "tie", F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("pos")).distinct()
     numbered = gone.alias("g").join(lines.alias("l"), _same("g", "l")).select("l.doc_id", "l.tie", "l.line")
     per = numbered.groupBy("doc_id", "tie").agg(F.collect_list("line").alias("__gone"))
