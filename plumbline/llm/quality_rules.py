@@ -5,18 +5,18 @@ All of it is built-in functions: no Python runs in the executors.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.llm.common import SPACE, col, stored, texts_of, words
 
-# Slots of the hashed n-grams, a power of two, and so the rows that reach the driver.
+# Slots of the hashed n-grams, a power of two: so many at least, and one for so many characters.
 SLOTS = 16_384
+SLOT_CHARS = 256
 SMOOTHING = 1.0
-# Documents that stand for trusted text: their ids are broadcast.
-TRUSTED = 20_000
+# Ratios are added up as integers in units of 2^-32, so that their order does not count.
+UNIT = 2.0**32
 # Share of the trusted documents whose score may lie below the threshold.
 TAIL = 0.005
 WINDOW = 8
@@ -46,42 +46,48 @@ def fold(gram: Column, slots: int) -> Column:
     return gram.bitwiseAND(F.lit(slots - 1).cast("bigint"))
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """At most ``most`` ids of documents labelled good, drawn by hash."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def slots_for(rows: DataFrame) -> int:
+    """The power of two from ``SLOTS`` on that has a slot for each ``SLOT_CHARS`` characters.
+
+    Distinct n-grams grow nearly as the text does, so a slot holds about 20 of them
+    at any size of the corpus.
+    """
+    chars = rows.agg(F.sum(F.length("text").cast("bigint")).alias("n")).first()["n"] or 0
+    return max(SLOTS, 1 << (-(-chars // SLOT_CHARS) - 1).bit_length() if chars else SLOTS)
 
 
-def slot_ratios(rows: DataFrame, slots: int = SLOTS) -> list[float]:
-    """Log-likelihood ratio, trusted to all documents, of each slot.
+def slot_ratios(rows: DataFrame, slots: int) -> DataFrame:
+    """``slot, ratio``: log-likelihood ratio, trusted to all documents, of each slot met.
 
-    ``rows`` has ``text, trusted``. Counts are summed per task before the shuffle;
-    one row per slot reaches the driver.
+    ``rows`` has ``text, trusted``. Counts are summed per task before the shuffle and
+    stay a table; their two totals reach the driver.
     """
     counts = (
         rows.select("trusted", F.explode(grams_of(F.col("text"))).alias("gram"))
         .groupBy(fold(F.col("gram"), slots).alias("slot"))
         .agg(F.count("*").alias("raw"), F.count_if("trusted").alias("good"))
     )
-    found = {r["slot"]: (r["good"], r["raw"]) for r in counts.collect()}
-    good_total = sum(g for g, _ in found.values()) + SMOOTHING * slots
-    raw_total = sum(r for _, r in found.values()) + SMOOTHING * slots
-    return [
-        math.log((found.get(s, (0, 0))[0] + SMOOTHING) / good_total)
-        - math.log((found.get(s, (0, 0))[1] + SMOOTHING) / raw_total)
-        for s in range(slots)
-    ]
+    counts = stored(counts, "slot-counts")
+    total = counts.agg(F.sum("good").alias("good"), F.sum("raw").alias("raw")).first()
 
+    def log_share(name: str) -> Column:
+        return F.log((F.col(name) + SMOOTHING) / F.lit(float((total[name] or 0) + SMOOTHING * slots)))
 
-def mean_ratio(text: Column, ratios: list[float]) -> Column:
-    """The mean ratio of a text's n-grams, so that length does not count; null without any."""
-    table, slots = F.lit(ratios), len(ratios)
+    ratio = F.round((log_share("good") - log_share("raw")) * UNIT).cast("bigint")
+    return stored(counts.select("slot", ratio.alias("ratio")), "slot-ratios")
 
-    def mean(grams: Column) -> Column:
-        total = F.aggregate(grams, F.lit(0.0), lambda a, x: a + F.get(table, fold(x, slots)))
-        return F.when(F.size(grams) > 0, total / F.size(grams))
 
-    return once(grams_of(text), mean)
+def mean_ratios(rows: DataFrame, ratios: DataFrame, slots: int) -> DataFrame:
+    """``doc_id, tie, score``: the mean ratio of a text's n-grams, so that length does not count.
+
+    Texts without n-grams have no row. Each n-gram meets its ratio by a join on the
+    slot, so no task holds the table of ratios unless Spark finds it small. Rows
+    equal in id and text add to the same sum and count, which leaves the mean.
+    """
+    grams = rows.select("doc_id", "tie", F.explode(grams_of(F.col("text"))).alias("gram"))
+    grams = grams.select("doc_id", "tie", fold(F.col("gram"), slots).alias("slot"))
+    sums = grams.join(ratios, "slot").groupBy("doc_id", "tie").agg(F.sum("ratio").alias("total"), F.count("*").alias("n"))
+    return sums.select("doc_id", "tie", (F.col("total") / F.col("n") / UNIT).alias("score"))
 
 
 def repeated_words(hashes: Column) -> Column:
@@ -145,23 +151,26 @@ def quality(
 ) -> DataFrame:
     """Per document the base counts, ``base_failed, score, threshold, kept``.
 
-    Trusted documents are those labelled good, 20,000 at most; the raw corpus is
-    every document. A score is the mean log ratio of a text's hashed unigrams and
-    bigrams between the two multinomials. The threshold is the trusted documents'
+    Trusted documents are all those labelled good; the raw corpus is every document.
+    A score is the mean log ratio of a text's hashed unigrams and bigrams between
+    the two multinomials, over slots whose number follows the corpus's size. The threshold is the trusted documents'
     own ``tail`` quantile, so it follows from the data alone, and the same rule
     judges every document. A document fails the base rules with under 20 words or
     with over 30 % of its words in repeated windows of 8.
 
-    Null texts have no words and fail; without labels every document has score 0
-    and none is below the threshold. Rows that share an id are judged apart.
+    Null texts have no words and fail; without labels no document is below the
+    threshold. Rows that share an id are judged apart.
     """
-    rows = texts_of(docs, id_col, text_col)
-    good = labels.select(col("doc_id").alias("doc_id"), col("quality").alias("quality"))
-    ids = trusted_ids(good).select(F.col("doc_id").alias("good_id"))
-    marked = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("good_id"), "left")
-    marked = marked.select("doc_id", "text", F.col("good_id").isNotNull().alias("trusted"))
-    ratios = slot_ratios(marked)
-    scored = base_counts(marked).withColumn("score", mean_ratio(F.col("text"), ratios)).drop("text")
+    rows = texts_of(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
+    good = labels.where((col("quality") == 1) & col("doc_id").isNotNull()).select(col("doc_id").alias("good_id")).distinct()
+    slots = slots_for(rows)
+    trusted = F.col("good_id").isNotNull().alias("trusted")
+    marked = rows.join(good, F.col("doc_id") == F.col("good_id"), "left").select("text", trusted)
+    scores = mean_ratios(rows, slot_ratios(marked, slots), slots)
+    scores = stored(scores.withColumnsRenamed({"doc_id": "scored_id", "tie": "scored_tie"}), "quality-means")
+    same = F.col("doc_id").eqNullSafe(F.col("scored_id")) & (F.col("tie") == F.col("scored_tie"))
+    scored = base_counts(rows).drop("text").join(scores, same, "left").drop("tie", "scored_id", "scored_tie")
+    scored = scored.join(good, F.col("doc_id") == F.col("good_id"), "left").select("*", trusted).drop("good_id")
     scored = stored(scored, "quality-scores")
     low = scored.where("trusted and score is not null").agg(F.percentile("score", F.lit(tail)).alias("low"))
     threshold = F.coalesce(low.select("low").scalar(), F.lit(float("-inf")))
