@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from plumbline.llm.common import slices, texts_of
 from plumbline.llm.shingles import shingle_hashes, universal_hashes
 
-# Notices by which texts name their licence, and opening passages of licences.
+# Notices by which texts name their licence, and passages of licences that tell them
+# apart. A passage that licences share goes by the name of their family.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -48,7 +49,7 @@ TEMPLATES = [
         "option) any later version.",
     ),
     (
-        "BSD-3-Clause",
+        "BSD",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met:",
     ),
@@ -60,8 +61,122 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("CC-BY-4.0", "the terms and conditions of this Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "the terms and conditions of this Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-ND-4.0", "the terms and conditions of this Creative Commons Attribution-NoDerivatives 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "the terms and conditions of this Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    (
+        "CC-BY-NC-SA-4.0",
+        "the terms and conditions of this Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+        "Public License",
+    ),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    (
+        "CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International "
+        "License.",
+    ),
+    (
+        "CC-BY-NC-ND-4.0",
+        "the terms and conditions of this Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International "
+        "Public License",
+    ),
+    (
+        "CC0-1.0",
+        "Affirmer hereby overtly, fully, permanently, irrevocably and unconditionally waives, abandons, and "
+        "surrenders all of Affirmer's Copyright and Related Rights",
+    ),
+    ("BSD-2-Clause", "other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY"),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
+    ("BSD-4-Clause", "All advertising materials mentioning features or use of this software must display the following acknowledgement:"),
+    ("MIT-0", 'persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED "AS IS"'),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    ("0BSD", 'with or without fee is hereby granted. THE SOFTWARE IS PROVIDED "AS IS"'),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    (
+        "Unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version.",
+    ),
+    ("GPL-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    (
+        "AGPL-3.0",
+        "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, "
+        "specifically designed to ensure cooperation with the community in the case of network server software.",
+    ),
+    (
+        "LGPL-3.0",
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of "
+        "the GNU General Public License, supplemented by the additional permissions listed below.",
+    ),
+    (
+        "GPL-2.0",
+        "By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free "
+        "software--to make sure the software is free for all its users.",
+    ),
+    (
+        "LGPL-2.1",
+        "This license, the Lesser General Public License, applies to some specially designated software "
+        "packages--typically libraries--of the Free Software Foundation and other authors who decide to use it.",
+    ),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    (
+        "Apache-2.0",
+        "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, "
+        "irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, "
+        "sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
+    ),
+    ("MPL-2.0", "means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+    (
+        "EPL",
+        "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE (\"AGREEMENT\"). ANY USE, "
+        "REPRODUCTION OR DISTRIBUTION OF THE PROGRAM CONSTITUTES RECIPIENT'S ACCEPTANCE OF THIS AGREEMENT.",
+    ),
+    ("EPL-1.0", "Eclipse Public License - v 1.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE"),
+    ("EPL-1.0", "are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution"),
+    ("EPL-2.0", "are made available under the terms of the Eclipse Public License 2.0 which is available at"),
 ]
 
+# Licences whose wordings are so near that a changed copy may be of any of them.
+FAMILIES = {
+    "BSD": ("BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause"),
+    "CC": ("CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-ND-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0"),
+    "EPL": ("EPL-1.0", "EPL-2.0"),
+    "GPL": ("GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-2.1", "LGPL-3.0"),
+}
+FAMILY = {name: family for family, names in FAMILIES.items() for name in names}
+
 WIDTH = 5
 CONTAINED = 0.8
 # 48 bands of one minimum. A window is at most four times its template's shingles, so
@@ -105,6 +220,12 @@ class Templates:
             with np.errstate(over="ignore"):
                 self.low.append((shingles[:, None] * self.a + self.b).min(axis=0))
             self.level.append(max(0, int(np.ceil(np.log2(len(words) - width + 1)))))
+        # By template: its shingles that a template of the same family lacks, for each that shares some.
+        self.telling = [
+            [own for own in map(np.setdiff1d, [a] * len(others), others) if len(own) < len(a)]
+            for name, a in zip(self.names, self.sets)
+            for others in [[b for n, b in zip(self.names, self.sets) if n != name and FAMILY.get(n) == FAMILY.get(name, "")]]
+        ]
         self.levels = max(self.level) + 1
         # By level and band: a table of low bits that sifts minima, and template numbers by minimum.
         self.sieve = [[np.zeros(1 << 16, bool) for _ in range(bands)] for _ in range(self.levels)]
@@ -153,21 +274,36 @@ class Templates:
             owner = np.searchsorted(begins, inside, "right") - 1
             for d in np.unique(owner):
                 own = inside[owner == d]
-                share = len(np.unique(values[own])) / len(self.sets[t])
+                held = np.unique(values[own])
+                share = len(held) / len(self.sets[t])
                 if share >= contained:
                     first, last = int(own[0] - begins[d]), int(own[-1] - begins[d])
-                    spans.setdefault(int(d), []).append((share, first, last + self.width, t))
+                    told = all(2 * np.isin(x, held).sum() >= len(x) for x in self.telling[t] if len(x))
+                    name = self.names[t] if told else FAMILY[self.names[t]]
+                    spans.setdefault(int(d), []).append((share, first, last + self.width, t, name))
         out = {}
         for d, found in spans.items():
             # Neighbouring windows see one occurrence; the one that holds most of it stands.
-            found.sort(key=lambda s: (-s[0], -len(self.sets[s[3]]), s[1], s[2], s[3]))
+            found.sort(key=lambda s: (s[4] in FAMILIES, -s[0], -len(self.sets[s[3]]), s[1], s[2], s[3]))
             kept: list[tuple] = []
             for s in found:
                 if not any(k[1] < s[2] and s[1] < k[2] for k in kept):
                     kept.append(s)
-            out[d] = sorted((self.names[t], lo, hi, share) for share, lo, hi, t in kept)
+            kept.sort(key=lambda s: s[1])
+            out[d] = sorted((self._named(kept, i), lo, hi, share) for i, (share, lo, hi, _, _) in enumerate(kept))
         return out
 
+    def _named(self, kept: list[tuple], i: int) -> str:
+        """The licence of a match: a shared opening has that of its family's next passage, up to the next opening."""
+        *_, t, name = kept[i]
+        if self.names[t] in FAMILIES:
+            for *_, u, following in kept[i + 1 :]:
+                if self.names[u] == name:
+                    break
+                if FAMILY.get(following) == name:
+                    return following
+        return name
+
 
 def scan_licenses(
     docs: DataFrame,
@@ -184,8 +320,14 @@ def scan_licenses(
     without signs, on as many scales as templates need. A window that shares the
     minimum of any of the hashes with a template is its candidate; it matches if it
     holds ``contained`` of the template's distinct shingles. ``start`` and ``end``
-    (exclusive) are code points. Of overlapping matches the one with the largest
-    containment stands, then the longer template.
+    (exclusive) are code points. Of overlapping matches one that names a licence
+    stands before one of a family, then the one with the largest containment, then
+    the longer template.
+
+    A passage that licences share is reported by their family (BSD, EPL), or by the
+    licence whose own passage follows before the next such opening. A match that
+    holds less than half of what tells its template from one of the same family is
+    reported by the family (GPL, CC). Licences without a template are not found.
 
     Null, empty and short texts have no matches. Rows that share an id are scanned
     apart. Templates are a fixed list, sent with the task.
