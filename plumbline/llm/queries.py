@@ -11,8 +11,11 @@ from plumbline.llm import (
     mixing,
     near_dedup,
     packing,
+    phrases,
     quality_rules,
     secret_scan,
+    sharding,
+    spelling,
     token_index,
     toxicity,
 )
@@ -66,6 +69,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(documents(spark, sf_dir), width=4)
 
 
+def op11_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.kd_shards(documents(spark, sf_dir), shards=8)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +94,9 @@ QUERIES = {
         op8_exact_dedup,
         op9_license_scan,
         op10_near_dedup,
+        op11_kd_sharding,
+        op12_spelling_variants,
+        op13_phrase_mining,
     )
 }
 
@@ -118,4 +136,29 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op13_phrase_mining": r"""
+        WITH pieces AS (
+          SELECT doc_id, lang, list_filter(list_transform(string_split_regex(text, '[.,;:!?\x0A-\x0D]'), lambda p: regexp_extract_all(p, '[^\x20\x09]+')), lambda w: len(w) > 0) AS ps
+          FROM (SELECT doc_id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+        ), each AS (SELECT lang, unnest(ps) AS w FROM pieces
+        ), grams AS (
+          SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM each, (VALUES (1), (2), (3)) t(k)
+        ), f AS (SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL
+        ), cand AS (
+          SELECT lang, k, phrase, string_split(phrase, ' ') AS w, n AS a FROM f WHERE k > 1 AND n >= 10
+        ), cuts AS (
+          SELECT c.lang, c.phrase, c.a, c.k, j, x.n AS l, y.n AS r, (1000000::HUGEINT * c.a * c.a) // (x.n::HUGEINT * y.n) AS score
+          FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
+          JOIN f x ON x.lang = c.lang AND x.k = c.j AND x.phrase = array_to_string(c.w[1:c.j], ' ')
+          JOIN f y ON y.lang = c.lang AND y.k = c.k - c.j AND y.phrase = array_to_string(c.w[c.j + 1:c.k], ' ')
+        ), scored AS (
+          SELECT lang, phrase, k, a, unnest(arg_min(struct_pack(l := l, r := r, score := score), struct_pack(s := score, j := j))) FROM cuts GROUP BY lang, phrase, k, a
+        ), longer AS (
+          SELECT lang, phrase, max(a) AS most FROM (SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase FROM cand, (VALUES (1), (2)) t(i) WHERE k = 3) GROUP BY ALL
+        ), ranked AS (
+          SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+          FROM scored s LEFT JOIN longer m USING (lang, phrase) WHERE k = 3 OR most IS NULL OR 100 * most < 50 * a
+        )
+        SELECT lang, rank, phrase, a, l, r, t.n AS n, score::BIGINT AS score
+        FROM ranked JOIN (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang) t USING (lang) WHERE rank <= 2000""",
 }
