@@ -109,7 +109,7 @@ def stratified_split(
     def last(n: Column) -> Column:
         return F.greatest(F.round(n * F.lit(test_share)).cast("bigint") - 1, F.lit(0))
 
-    cut = order_statistics(hashed, "_hash", [(test_share, last, last)], by=[label], bounded=False)
+    cut = order_statistics(hashed, "_hash", [(last, last)], by=[label], bounded=False)
     # A class of one or two rows may have no test row at all.
     cut = broadcast_checked(
         cut.where(F.round(F.col("n") * F.lit(test_share)) > 0).select(
@@ -244,8 +244,8 @@ class NumericScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
     def _fit(self, df: DataFrame) -> "NumericScalerModel":
         columns = self.getInputCols()
         long = numeric_long(df, columns)
-        m = moments(long, ["feature"], [0.5])
-        medians = exact_quantiles(long, "value", [0.5], by=["feature"], sketch=m).select("feature", "q0")
+        m = moments(long, ["feature"])
+        medians = exact_quantiles(long, "value", [0.5], by=["feature"], bounded=True).select("feature", "q0")
         rows = m.join(F.broadcast(medians), "feature").select("feature", "n", "n_rows", "mean", "std", "q0").collect()
         found = {r["feature"]: _filled_moments(r["n"], r["n_rows"], r["mean"], r["std"], r["q0"]) for r in rows}
         empty = (0.0, 0.0, 1.0)

@@ -144,8 +144,8 @@ def feature_statistics(
     parts = []
     if numeric:
         tagged = tagged_numbers(ref, prod, numeric)
-        m = moments(tagged, ["side", "feature"], [0.5])
-        q = exact_quantiles(tagged, "value", [0.5], by=["side", "feature"], sketch=m).drop("n")
+        m = moments(tagged, ["side", "feature"])
+        q = exact_quantiles(tagged, "value", [0.5], by=["side", "feature"], bounded=True).drop("n")
         ends = m.where("side = 'ref' and n > 0").select("feature", "first", "last")
         m = m.join(F.broadcast(q), ["side", "feature"])
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from plumbline.functions.terms import share
-from plumbline.operators.ranks import drop_nan, exact_quantiles, melt, sketch_columns
+from plumbline.operators.ranks import drop_nan, exact_quantiles, melt
 from plumbline.schemas import NOT_FEATURES, category_columns, numeric_columns
 from plumbline.session import broadcast_checked, one_row
 
@@ -24,9 +24,9 @@ def numeric_long(df: DataFrame, columns: list[str], side: str | None = None) ->
     return long if side is None else long.withColumn("side", F.lit(side))
 
 
-def moments(long: DataFrame, by: list[str], probs: list[float] | None = None) -> DataFrame:
-    """Per group, in one pass: count, missing, mean, sample std, min, max, skewness,
-    excess kurtosis, and the sketch from which ``probs`` are made exact.
+def moments(long: DataFrame, by: list[str]) -> DataFrame:
+    """Per group, in one pass: count, missing, mean, sample std, min, max, skewness and
+    excess kurtosis.
 
     There is a row per column (and side), so the table is fetched and kept
     while the other passes use it; more rows than can be fetched stay a plan.
@@ -39,7 +39,9 @@ def moments(long: DataFrame, by: list[str], probs: list[float] | None = None) ->
         F.skewness(v).alias("skewness"),
         F.kurtosis(v).alias("kurtosis"),
         F.count_if(v.isNull()).alias("missing_count"),
-        *(sketch_columns(v, probs) if probs else [F.count(v).alias("n")]),
+        F.count(v).alias("n"),
+        F.min(v).alias("first"),
+        F.max(v).alias("last"),
     )
     return broadcast_checked(table)
 
@@ -54,8 +56,8 @@ def numeric_profile(df: DataFrame, columns: list[str], literal_missing: bool = F
     dropped, that is 0.
     """
     long = numeric_long(df, columns)
-    m = moments(long, ["feature"], QUARTILES)
-    quartiles = exact_quantiles(long, "value", QUARTILES, by=["feature"], sketch=m).drop("n")
+    m = moments(long, ["feature"])
+    quartiles = exact_quantiles(long, "value", QUARTILES, by=["feature"], bounded=True).drop("n")
     out = m.where("n > 0").join(F.broadcast(quartiles), "feature")
     missing = F.lit(0) if literal_missing else F.col("missing_count")
     return out.select(
@@ -156,12 +158,9 @@ def fences(quartiles: DataFrame, by: list[str]) -> DataFrame:
     return quartiles.select(*by, (F.col("q0") - width).alias("low_fence"), (F.col("q1") + width).alias("high_fence"))
 
 
-def outlier_shares(long: DataFrame, sketch: DataFrame | None = None) -> DataFrame:
-    """Share of values beyond the data's own fences, per feature.
-
-    ``sketch`` brackets the outer quartiles, if computed already.
-    """
-    quartiles = exact_quantiles(long, "value", [0.25, 0.75], by=["feature"], sketch=sketch)
+def outlier_shares(long: DataFrame) -> DataFrame:
+    """Share of values beyond the data's own fences, per feature."""
+    quartiles = exact_quantiles(long, "value", [0.25, 0.75], by=["feature"], bounded=True)
     limits = fences(quartiles, ["feature"])
     outside = (F.col("value") < F.col("low_fence")) | (F.col("value") > F.col("high_fence"))
     return (

@@ -2,9 +2,10 @@
 
 Two building blocks:
 
-``exact_quantiles`` narrows each wanted rank to a thin bracket with a mergeable
-sketch, then counts inside the bracket only, so the shuffle carries a sliver of
-the rows and no aggregate state grows with the data.
+``order_statistics`` maps values to 64-bit integers of the same order and finds each
+wanted rank by counting rows by the integers' leading bits: four counts, each within
+the prefixes the one before has found, for all groups and ranks together. Tables of
+counts are all that is shuffled, and how values are distributed does not matter.
 
 ``running_totals`` sorts by range partitions, stores the partition number, and
 adds the totals of the earlier partitions, so a global cumulative sum is spread
@@ -19,16 +20,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.session import broadcast_checked, cut_lineage
 
-# A sketch travels from every map task to one reducer per group, so it is kept to
-# some tens of kilobytes; the wider brackets cost more counted rows, which spread
-# over all reducers.
-SKETCH_ACCURACY = 2_000
-# Half width of a bracket as a share of the rows: five times the sketch's error.
-MARGIN = 5 / SKETCH_ACCURACY
-# With fewer rows the margin is below two rows, too thin for the two neighbours of a
-# rank; such a bracket is the whole range.
-SMALL_GROUP = int(2 / MARGIN)
-CELLS = 1024
+# Leading bits that one count tells apart, and the bits of an order key.
+DIGIT_BITS = 16
+KEY_BITS = 64
 
 
 def melt(df: DataFrame, columns: list[str], data_type: str, keep: list[str] | None = None) -> DataFrame:
@@ -47,175 +41,126 @@ def drop_nan(value: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
-def sketch_columns(value: Column, shares: list[float]) -> list[Column]:
-    """The aggregates that bracket ranks lying at about these shares of the rows.
+def _match(left: str, right: str, keys: list[str]) -> list[Column]:
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+
 
-    Another aggregation over the same rows can carry them, and hand its result
-    to ``order_statistics`` or ``exact_quantiles`` to spare them a scan.
+def double_key(x: Column) -> Column:
+    """A bigint that orders doubles as their values do, distinct for distinct ones.
+
+    It is the exponent followed by the mantissa, negated for negative values. The
+    scale is a power of two, so all steps are exact; the logarithm may miss the
+    exponent by one, which the mantissa shows. NaN has none.
     """
-    ends = [max(0.0, p - MARGIN) for p in shares] + [min(1.0, p + MARGIN) for p in shares]
-    return [
-        F.count(value).alias("n"),
-        F.min(value).alias("first"),
-        F.max(value).alias("last"),
-        F.percentile_approx(value, ends, SKETCH_ACCURACY).alias("s"),
-    ]
-
-
-def _brackets(sketch: DataFrame, keys: list[str], ranks: list) -> DataFrame:
-    """Per group and target: bracket ends, the two wanted ranks, the row count."""
-    whole = F.col("n") < SMALL_GROUP
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("target"),
-                F.when(whole, F.col("first")).otherwise(F.get("s", F.lit(i))).alias("lo"),
-                F.when(whole, F.col("last")).otherwise(F.get("s", F.lit(len(ranks) + i))).alias("hi"),
-                lower(F.col("n")).cast("bigint").alias("r0"),
-                upper(F.col("n")).cast("bigint").alias("r1"),
-            )
-            for i, (_, lower, upper) in enumerate(ranks)
-        ]
-    )
-    return sketch.where("n > 0").select(*keys, "n", "first", "last", F.inline(targets))
+    size = F.abs(x)
+    least, most = -1022, 1023
+    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(most)), F.lit(least)).cast("int")
+    scaled = size / F.pow(F.lit(2.0), guess)
+    power = guess + F.when(scaled >= 2, 1).when((scaled < 1) & (guess > least), -1).otherwise(0)
+    # Below the least exponent the mantissa is below 1, and stands alone.
+    mantissa = (size / F.pow(F.lit(2.0), power) * 2.0**52).cast("bigint")
+    key = (power - least).cast("bigint") * (1 << 52) + mantissa
+    key = F.when(size == 0, 0).when(size == float("inf"), (most - least + 2) << 52).otherwise(key)
+    return F.when(F.isnan(x), None).when(x < 0, -key).otherwise(key)
 
 
-def _match(left: str, right: str, keys: list[str]) -> list[Column]:
-    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+def _small(df: DataFrame, bounded: bool) -> DataFrame:
+    """A table that the next count reads, and that is not computed again."""
+    if bounded:
+        return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema))
+    return broadcast_checked(cut_lineage(df, "order-statistics"))
 
 
 def order_statistics(
-    df: DataFrame,
-    value: str,
-    ranks: list,
-    by: list[str] | None = None,
-    bounded: bool = True,
-    sketch: DataFrame | None = None,
+    df: DataFrame, value: str, ranks: list, by: list[str] | None = None, bounded: bool = True
 ) -> DataFrame:
-    """Exact values at given ranks per group: ``by…, target, n, first, last, low, high``.
+    """Exact values at given ranks per group: ``by…, target, n, low, high``.
 
-    ``ranks`` lists ``(share, lower, upper)``: two functions from the row count
-    to a 0-based rank, neighbours of each other, and about where they lie
-    (0..1). With ``bounded`` the groups are known to be few (columns of a
-    schema); otherwise the group table is broadcast only after a size check.
-    ``sketch`` has the columns of ``sketch_columns`` per group, if computed already.
+    ``ranks`` lists pairs of functions from the row count to a 0-based rank; the
+    values at both are ``low`` and ``high``. Values are numbers, missing ones are
+    skipped. With ``bounded`` the groups are known to be few (columns of a schema);
+    otherwise tables with a row for each group are fetched only after a size check.
     """
     by = by or []
     keys = [f"g{i}" for i in range(len(by))]
-    base = df.select(
-        *[F.col(f"`{b}`").alias(k) for b, k in zip(by, keys)], F.col(f"`{value}`").alias("v")
-    ).where(F.col("v").isNotNull())
-    if sketch is None:
-        sketch = base.groupBy(*keys).agg(*sketch_columns(F.col("v"), [share for share, _, _ in ranks]))
-    else:
-        sketch = sketch.select(*[F.col(f"`{b}`").alias(k) for b, k in zip(by, keys)], "n", "first", "last", "s")
-    brackets = _brackets(sketch, keys, ranks)
-    brackets = F.broadcast(brackets) if bounded else broadcast_checked(brackets)
-    joined = base.alias("b").join(
-        brackets.alias("t"),
-        reduce(Column.__and__, _match("b", "t", keys), F.col("b.v") <= F.col("t.hi")),
-    )
-    # Rows below the bracket collapse into cell -1 before the shuffle.
-    offset = F.col("b.v").cast("double") - F.col("t.lo").cast("double")
-    span = F.col("t.hi").cast("double") - F.col("t.lo").cast("double")
-    cell = (
-        F.when(F.col("b.v") < F.col("t.lo"), -1)
-        .when(span <= 0, 0)
-        .otherwise(F.least(F.floor(offset / span * CELLS), F.lit(CELLS - 1)))
-        .cast("int")
-    )
-    group = [*keys, "target"]
-    facts = [*group, "n", "first", "last", "r0", "r1"]
-    counts = (
-        joined.select(*[f"t.{c}" for c in facts], cell.alias("cell"), F.col("b.v").alias("v"))
-        .withColumn("v", F.when(F.col("cell") >= 0, F.col("v")))
-        .groupBy(*facts, "cell", "v")
-        .agg(F.count("*").alias("c"))
-    )
-    per_cell = counts.groupBy(*facts, "cell").agg(F.sum("c").alias("cell_rows"))
-    cells_in_order = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    rows_of = F.sum(F.when(F.col("cell") < 0, F.col("cell_rows")).otherwise(0)).over(Window.partitionBy(*group))
-    all_of = F.sum("cell_rows").over(Window.partitionBy(*group))
-    # A bracket that misses its rank is an error, never a group that vanishes.
-    caught = (F.col("r0") >= F.col("below")) & (F.col("r1") < F.col("reached"))
-    missed = F.raise_error(F.lit("a bracket of the sketch misses its rank")).cast("boolean")
-    wanted = F.expr("cell >= 0 and r1 >= before and r0 < before + cell_rows")
-    hit = (
-        per_cell.withColumn("before", F.coalesce(F.sum("cell_rows").over(cells_in_order), F.lit(0)))
-        .withColumns({"below": rows_of, "reached": all_of})
-        .where(F.when(caught, wanted).otherwise(missed))
-        .select(*group, "cell", "before")
-    )
-    # Null-safe on the cell as well: a plain equality would push ``cell >= 0`` below
-    # the counts, and the two uses of the counts would no longer share one shuffle.
-    found = counts.alias("c").join(
-        (F.broadcast(hit) if bounded else hit).alias("h"),
-        reduce(Column.__and__, _match("c", "h", [*group, "cell"])),
+    base = df.select(*[F.col(f"`{b}`").alias(k) for b, k in zip(by, keys)], F.col(f"`{value}`").alias("v"))
+    whole = base.schema["v"].dataType.typeName() in ("byte", "short", "integer", "long")
+    key = F.col("v").cast("bigint") if whole else double_key(F.col("v").cast("double"))
+    base = base.where(F.col("v").isNotNull()).withColumn("key", key).where(F.col("key").isNotNull())
+    wanted = F.array(
+        *[
+            F.struct(F.lit(i).alias("target"), F.lit(side).alias("side"), rank(F.col("n")).cast("bigint").alias("rank"))
+            for i, pair in enumerate(ranks)
+            for side, rank in enumerate(pair)
+        ]
     )
-    found = found.select(*[f"c.{c}" for c in [*facts, "cell", "v", "c"]], "h.before")
-    inside = Window.partitionBy(*group, "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("before") + F.coalesce(F.sum("c").over(inside), F.lit(0))
+    facts = [*keys, "n", "target", "side"]
+    state = None
+    for below in range(KEY_BITS - DIGIT_BITS, -1, -DIGIT_BITS):
+        prefix = F.shiftright("key", below)
+        if state is None:
+            rows, group = base.withColumn("head", F.lit(0).cast("bigint")), keys
+        else:
+            group = [*keys, "head"]
+            heads = F.broadcast(state.select(*group).distinct()) if bounded else state.select(*group).distinct()
+            same = [F.shiftright("b.key", below + DIGIT_BITS) == F.col("t.head"), *_match("b", "t", keys)]
+            rows = base.alias("b").join(heads.alias("t"), reduce(Column.__and__, same)).select("b.*", "t.head")
+        last = [F.min("v").alias("value")] if below == 0 else []
+        counts = rows.groupBy(*group, prefix.alias("prefix")).agg(F.count("*").alias("c"), *last)
+        # No more rows to a group than one count tells apart.
+        ordered = Window.partitionBy(*group).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("before", F.coalesce(F.sum("c").over(ordered), F.lit(0)))
+        kept = ["value"] if below == 0 else []
+        if state is None:
+            found = counts.withColumn("n", F.sum("c").over(Window.partitionBy(*keys)))
+            found = found.select(*keys, "n", "prefix", "c", "before", *kept, F.inline(wanted))
+        else:
+            found = counts.alias("b").join(state.alias("t"), reduce(Column.__and__, _match("b", "t", group)))
+            found = found.select(*[f"t.{c}" for c in [*facts, "rank"]], *[f"b.{c}" for c in ["prefix", "c", "before", *kept]])
+        found = found.where(F.expr("rank >= before and rank < before + c"))
+        left = (F.col("rank") - F.col("before")).alias("rank")
+        state = found.select(*facts, left, F.col("prefix").alias("head"), *kept)
+        if below:
+            state = _small(state, bounded)
 
-    def at(rank: str) -> Column:
-        return F.max(F.when(F.expr(f"{rank} >= start and {rank} < start + c"), F.col("v")))
+    def at(side: int) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col("value")))
 
-    return (
-        found.withColumn("start", start)
-        .groupBy(*group, "n", "first", "last")
-        .agg(at("r0").alias("low"), at("r1").alias("high"))
-        .select(*[F.col(k).alias(b) for k, b in zip(keys, by)], "target", "n", "first", "last", "low", "high")
-    )
+    out = state.groupBy(*keys, "target", "n").agg(at(0).alias("low"), at(1).alias("high"))
+    return out.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], "target", "n", "low", "high")
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: list[float],
-    by: list[str] | None = None,
-    sketch: DataFrame | None = None,
-    bounded: bool | None = None,
+    df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, bounded: bool | None = None
 ) -> DataFrame:
     """Linearly interpolated quantiles, one row per group: ``by…, n, q0, q1, …``.
 
     Missing values are skipped; a group without values has no row. Without
-    ``by`` the result always has one row, with nulls on empty input. ``sketch``
-    is the result of ``sketch_columns`` for the same groups and ``probs``.
-    ``bounded`` as in ``order_statistics``; keys are held to be data unless a
-    sketch per schema column is given.
+    ``by`` the result always has one row, with nulls on empty input.
+    ``bounded`` as in ``order_statistics``; keys are held to be data unless said
+    otherwise.
     """
     by = by or []
-    bounded = (not by or sketch is not None) if bounded is None else bounded
+    bounded = not by if bounded is None else bounded
 
     def target(p: float):
-        return (
-            p,
-            lambda n: F.floor((n - 1) * F.lit(float(p))),
-            lambda n: F.ceil((n - 1) * F.lit(float(p))),
-        )
+        return lambda n: F.floor((n - 1) * F.lit(float(p))), lambda n: F.ceil((n - 1) * F.lit(float(p)))
 
-    # The ends are known from the sketch; only inner quantiles need counting.
-    inner = [p for p in probs if 0 < p < 1] or [0.5]
-    values = order_statistics(df, value, [target(p) for p in inner], by, bounded, sketch)
+    values = order_statistics(df, value, [target(p) for p in probs], by, bounded)
 
     def pick(column: str, i: int) -> Column:
         return F.max(F.when(F.col("target") == i, F.col(column).cast("double")))
 
     wide = values.groupBy(*by).agg(
-        F.max("n").alias("n"),
-        F.max("first").cast("double").alias("first"),
-        F.max("last").cast("double").alias("last"),
-        *[pick(c, i).alias(f"{c}{i}") for i in range(len(inner)) for c in ("low", "high")],
+        F.max("n").alias("n"), *[pick(c, i).alias(f"{c}{i}") for i in range(len(probs)) for c in ("low", "high")]
     )
     out = []
-    for slot, p in enumerate(probs):
-        if p in (0, 1):
-            quantile = F.col("last" if p else "first")
-        else:
-            i = inner.index(p)
-            position = (F.col("n") - 1) * F.lit(float(p))
-            weight = position - F.floor(position)
-            quantile = F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * weight
-        out.append(quantile.alias(f"q{slot}"))
+    for i, p in enumerate(probs):
+        position = (F.col("n") - 1) * F.lit(float(p))
+        weight = position - F.floor(position)
+        between = F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * weight
+        # Equal neighbours may be infinite.
+        out.append(F.when(F.col(f"low{i}") == F.col(f"high{i}"), F.col(f"low{i}")).otherwise(between).alias(f"q{i}"))
     return wide.select(*by, "n", *out)
 
 

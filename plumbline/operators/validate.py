@@ -81,7 +81,7 @@ def numeric_checks(
 ) -> DataFrame:
     """Checks of numeric columns; ``stats`` has the reference's ``feature, mean, std, skewness, missing_pct``."""
     long = numeric_long(prod, columns)
-    now = moments(long, ["feature"], [0.25, 0.75])
+    now = moments(long, ["feature"])
     missing = F.lit(0.0) if literal_missing else F.col("missing_count") / F.col("n_rows")
     p = now.select(
         "feature",
@@ -101,7 +101,7 @@ def numeric_checks(
     f = (
         r.where(F.col("feature").isin(columns))
         .join(F.broadcast(p), "feature", "left")
-        .join(F.broadcast(outlier_shares(long, now)), "feature", "left")
+        .join(F.broadcast(outlier_shares(long)), "feature", "left")
         .withColumn("type", F.lit("numerical"))
         .withColumn("mean_shift", F.abs(F.col("p_mean") - F.col("r_mean")) / F.greatest(F.abs("r_mean"), F.lit(FLOOR)))
         .withColumn("std_shift", F.abs(F.col("p_std") - F.col("r_std")) / F.greatest("r_std", F.lit(FLOOR)))
