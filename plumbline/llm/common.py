@@ -176,7 +176,36 @@ def slices(batch, most: int = 1_000_000):
             start, size = i + 1, 0
 
 
+class BitTable:
+    """A table of bits with one set for each of some hash values, for the tasks.
+
+    Others may share a bit, so it only tells which are certainly not among them. It
+    has ``ROOM`` bits for each value, up to 64 MB; beyond that it tells less.
+    """
+
+    ROOM = 16
+    MOST = 1 << 29
+
+    def __init__(self, rows: DataFrame, column: str):
+        want = rows.count() * self.ROOM
+        size = min(self.MOST, max(1 << 16, 1 << max(0, want - 1).bit_length()))
+        self.mask = np.uint64(size - 1)
+        slot = F.col(column).bitwiseAND(F.lit(size - 1))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))
+        # At most one row for each word of the table.
+        found = rows.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        words = np.zeros(size // 64, "i8")
+        words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+        self.words = rows.sparkSession.sparkContext.broadcast(words)
+
+    def may_have(self, values: np.ndarray) -> np.ndarray:
+        slot = values & self.mask
+        word = self.words.value.view("u8")[slot >> np.uint64(6)]
+        return (word >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
 __all__ = [
+    "BitTable",
     "SPACE",
     "WORD",
     "WordEncoder",

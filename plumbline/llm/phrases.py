@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plumbline.llm.common import col, slices, stored, worker_state
-from plumbline.llm.shingles import WordHashes
+from plumbline.llm.common import BitTable, col, slices, stored, worker_state
 
 LONGEST = 3
 LEAST = 10
@@ -19,67 +16,20 @@ TOP = 2_000
 SCALE = 1_000_000
 # A phrase goes if a longer one that holds it has so many hundredths of its occurrences.
 SHARE = 50
+# Parts of a language's phrases that are ranked apart before their best meet.
+PARTS = 64
 # Bits of a fingerprint; a second one of 64 bits tells when two phrases share the first.
 BITS = 64
-# Words whose fingerprints a task sorts together before it hands their counts on.
+# Bytes of text whose fingerprints a task sorts together before it hands their counts on.
 TOGETHER = 2_000_000
-# A table of bits has so many for each fingerprint that is in it, up to the most (64 MB).
-ROOM = 16
-MOST_BITS = 1 << 29
-
-_SEPARATORS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
-BASE = 0x9E3779B97F4A7C15
-CHECK_BASE = 0xC2B2AE3D27D4EB4F
-
-
-def pieces(text: str) -> list[list[bytes]]:
-    """Words of each piece, A-Z lower-cased. Null characters aside, all spaces but tab and blank part pieces."""
-    cut = text.encode("utf-8", "surrogatepass").lower().translate(_SEPARATORS)
-    return [w for w in map(bytes.split, cut.split(b"\n")) if w]
-
-
-class Fingerprints:
-    """Fingerprints of all word n-grams of some texts of one language.
-
-    A word's hash times the base to the power of its place is summed along the texts,
-    modulo 2^64; an n-gram's polynomial is the difference of two sums, divided by the
-    base to its place (an odd base has an inverse). Language and length are mixed in.
-    """
-
-    def __init__(self, found: list[list[list[bytes]]], lang: str, bits: int = BITS):
-        self.words = [w for text in found for piece in text for w in piece]
-        self.texts = np.repeat(np.arange(len(found)), [sum(map(len, text)) for text in found])
-        sizes = [len(piece) for text in found for piece in text]
-        self.piece = np.repeat(np.arange(len(sizes)), sizes)
-        self.n, self.bits = len(self.words), bits
-        own = worker_state("phrase words", WordHashes)
-        h = np.fromiter(map(own.__getitem__, self.words), "u8", self.n)
-        self.salt = np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 7))
-        with np.errstate(over="ignore"):
-            second = _mixed(h ^ np.uint64(0x94D049BB133111EB))
-        self.sums = [self._sums(h, BASE), self._sums(second, CHECK_BASE)]
-
-    def _sums(self, h: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-        powers = _powers(base, self.n + 1)
-        with np.errstate(over="ignore"):
-            return np.concatenate([np.zeros(1, "u8"), np.cumsum(h * powers[:-1], dtype="u8")]), _powers(pow(base, -1, 1 << 64), self.n + 1)
-
-    def places(self, length: int) -> np.ndarray:
-        """Of the n-grams of this length that lie within a piece, the first words' places."""
-        last = self.n - length + 1
-        return np.flatnonzero(self.piece[: max(0, last)] == self.piece[length - 1 :]) if last > 0 else np.empty(0, "i8")
-
-    def at(self, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Fingerprint and second fingerprint of the n-grams that begin there."""
-        out = []
-        with np.errstate(over="ignore"):
-            for sums, inverse in self.sums:
-                x = (sums[places + length] - sums[places]) * inverse[places]
-                out.append(_mixed(x ^ _mixed(self.salt + np.uint64(length))))
-        return out[0] >> np.uint64(64 - self.bits), out[1]
+# Words of more bytes are hashed one by one: polynomials modulo 2^64 have twins at great length.
+LONG_WORD = 64
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
-    def phrase(self, place: int, length: int) -> str:
-        return b" ".join(self.words[place : place + length]).decode("utf-8", "surrogatepass")
+# By byte: 0 in a word, 1 between words, 2 between pieces.
+_KINDS = np.zeros(256, "u1")
+_KINDS[[0x20, 0x09]] = 1
+_KINDS[list(b".,;:!?\n\x0b\x0c\r")] = 2
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -98,50 +48,82 @@ def _powers(base: int, n: int) -> np.ndarray:
     return kept[0][:n]
 
 
-def by_lang(batches, bits: int):
-    """``lang, fingerprints, text hashes`` of some texts of one language together."""
-    found, hashes, size = defaultdict(list), defaultdict(list), 0
+class Polynomial:
+    """Sums of values times the base to the power of their place, modulo 2^64.
 
-    def handed():
-        for lang in found:
-            yield lang, Fingerprints(found[lang], lang, bits), np.array(hashes[lang], "i8")
+    The polynomial of any run is the difference of two sums divided by the base to its
+    place; an odd base has an inverse.
+    """
 
-    for batch in batches:
-        for part in slices(batch):
-            for text, lang, key in zip(*(part.column(c).to_pylist() for c in ("text", "lang", "text_hash"))):
-                words = pieces(text)
-                if words:
-                    found[lang].append(words)
-                    hashes[lang].append(key)
-                    size += sum(map(len, words))
-            if size >= TOGETHER:
-                yield from handed()
-                found, hashes, size = defaultdict(list), defaultdict(list), 0
-    yield from handed()
-
-
-class BitTable:
-    """A table of bits with one set for each of some fingerprints, for the tasks.
-
-    Others may share a bit, so it only tells which are certainly not among them.
+    def __init__(self, values: np.ndarray, base: int):
+        with np.errstate(over="ignore"):
+            self.sums = np.zeros(len(values) + 1, "u8")
+            np.cumsum(values * _powers(base, len(values)), dtype="u8", out=self.sums[1:])
+        self.inverse = _powers(pow(base, -1, 1 << 64), len(values) + 1)
+
+    def runs(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (self.sums[end] - self.sums[start]) * self.inverse[start]
+
+
+class Fingerprints:
+    """Two fingerprints of all word n-grams of some texts.
+
+    Words are hashed by polynomials over the bytes, n-grams by polynomials over the
+    words' hashes; language and length are mixed in. A-Z count as a-z.
     """
 
-    def __init__(self, rows: DataFrame):
-        want = rows.count() * ROOM
-        size = min(MOST_BITS, max(1 << 16, 1 << max(0, want - 1).bit_length()))
-        self.mask = np.uint64(size - 1)
-        slot = F.col("fp").bitwiseAND(F.lit(size - 1))
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))
-        # At most one row for each word of the table.
-        found = rows.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
-        words = np.zeros(size // 64, "i8")
-        words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
-        self.words = rows.sparkSession.sparkContext.broadcast(words)
+    def __init__(self, texts: list[str], langs: list[str], bits: int = BITS):
+        self.bits = bits
+        coded = [t.encode("utf-8", "surrogatepass") for t in texts]
+        self.data = b"\n".join(coded).lower()
+        letters = np.frombuffer(self.data, "u1")
+        kinds = _KINDS[letters]
+        inside = np.concatenate([[False], kinds == 0, [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.start, self.end = edges[::2], edges[1::2]
+        self.n = len(self.start)
+        self.piece = np.cumsum(kinds == 2)[np.minimum(self.start, max(0, len(letters) - 1))] if self.n else self.start
+        begins = np.cumsum([0] + [len(c) + 1 for c in coded[:-1]])
+        self.text = np.searchsorted(begins, self.start, "right") - 1
+        salts = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 7) for x in langs], "u8")
+        self.salt = salts[self.text]
+        self.sums = [Polynomial(self._words(letters, base), base) for base in BASES]
+
+    def _words(self, letters: np.ndarray, base: int) -> np.ndarray:
+        h = Polynomial(letters.astype("u8") + np.uint64(1), base).runs(self.start, self.end)
+        for i in np.flatnonzero(self.end - self.start > LONG_WORD):
+            h[i] = xxhash.xxh64_intdigest(self.data[self.start[i] : self.end[i]], base)
+        with np.errstate(over="ignore"):
+            return _mixed(h + (self.end - self.start).astype("u8"))
+
+    def places(self, length: int) -> np.ndarray:
+        """Of the n-grams of this length that lie within a piece, the first words' places."""
+        last = self.n - length + 1
+        return np.flatnonzero(self.piece[:last] == self.piece[length - 1 :]) if last > 0 else np.empty(0, "i8")
+
+    def at(self, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Both fingerprints of the n-grams that begin there."""
+        with np.errstate(over="ignore"):
+            salt = _mixed(self.salt[places] + np.uint64(length))
+        first, second = (_mixed(s.runs(places, places + length) ^ salt) for s in self.sums)
+        return first >> np.uint64(64 - self.bits), second
+
+    def none(self) -> tuple[np.ndarray, np.ndarray]:
+        """Both fingerprints of the phrase without words, once for each word of its language."""
+        return _mixed(self.salt) >> np.uint64(64 - self.bits), _mixed(self.salt ^ np.uint64(BASES[1]))
+
+    def phrase(self, place: int, length: int) -> str:
+        words = zip(self.start[place : place + length], self.end[place : place + length])
+        return b" ".join([self.data[a:b] for a, b in words]).decode("utf-8", "surrogatepass")
+
 
-    def may_have(self, fp: np.ndarray) -> np.ndarray:
-        slot = fp & self.mask
-        word = self.words.value.view("u8")[slot >> np.uint64(6)]
-        return (word >> (slot & np.uint64(63))) & np.uint64(1) == 1
+def fingerprints(batches, bits: int):
+    """Fingerprints of some texts together, and the texts' hashes."""
+    for batch in batches:
+        for part in slices(batch, TOGETHER):
+            texts, langs = part.column("text").to_pylist(), part.column("lang").to_pylist()
+            yield Fingerprints(texts, langs, bits), part.column("text_hash").to_numpy()
 
 
 def texts_with_lang(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -153,62 +135,63 @@ def texts_with_lang(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     )
 
 
-COUNTS = "lang string, fp bigint, n bigint, low bigint, high bigint, text_hash bigint"
+COUNTS = "fp bigint, n bigint, low bigint, high bigint, text_hash bigint"
 
 
 def counted(texts: DataFrame, length: int, bits: int, parts: BitTable | None = None) -> DataFrame:
-    """``lang, fp, n, low, high, text_hash`` of the n-grams of ``length`` words, summed.
+    """``fp, n, low, high, text_hash`` of the n-grams of ``length`` words, summed.
 
     ``low`` and ``high`` are the least and the largest second fingerprint met with the
     first, ``text_hash`` points to a text that has it. With ``parts`` only n-grams count
-    whose beginning and end, one word shorter, may be in that table. Single words also
-    give a row for each language, without fingerprint: its words.
+    whose beginning and end, one word shorter, may be in that table. Beside single
+    words the phrase without words is counted: its occurrences are its language's words.
     """
 
     def count(batches):
-        for lang, grams, hashes in by_lang(batches, bits):
+        for grams, hashes in fingerprints(batches, bits):
             at = grams.places(length)
             if parts is not None:
                 at = at[parts.may_have(grams.at(at, length - 1)[0])]
                 at = at[parts.may_have(grams.at(at + 1, length - 1)[0])]
             fp, check = grams.at(at, length)
+            if length == 1:
+                fp, check = (np.concatenate(x) for x in zip((fp, check), grams.none()))
+                at = np.concatenate([at, np.arange(grams.n)])
             order = np.argsort(fp, kind="stable")
-            fp, check, text = fp[order], check[order].view("i8"), hashes[grams.texts[at[order]]]
+            fp, check, text = fp[order], check[order].view("i8"), hashes[grams.text[at[order]]]
             begin = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.empty(0, "i8")
             columns = [
-                pa.nulls(len(begin), pa.string()),
                 pa.array(fp[begin].view("i8")),
                 pa.array(np.diff(np.append(begin, len(fp)))),
                 *(pa.array(f.reduceat(x, begin) if len(begin) else x) for f, x in ((np.minimum, check), (np.maximum, check), (np.minimum, text))),
             ]
-            yield pa.RecordBatch.from_arrays(columns, NAMES)
-            if length == 1:
-                none = pa.nulls(1, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), none, pa.array([grams.n], pa.int64()), none, none, none], NAMES)
+            yield pa.RecordBatch.from_arrays(columns, ["fp", "n", "low", "high", "text_hash"])
 
-    rows = texts.mapInArrow(count, COUNTS)
     sums = (F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("text_hash").alias("text_hash"))
-    return rows.groupBy("lang", "fp").agg(*sums)
+    return texts.mapInArrow(count, COUNTS).groupBy("fp").agg(*sums)
 
 
-NAMES = ["lang", "fp", "n", "low", "high", "text_hash"]
 EXACT = "fp bigint, check bigint, phrase string, n bigint, text_hash bigint"
 
 
 def told_apart(texts: DataFrame, mixed: DataFrame, length: int, bits: int) -> DataFrame:
     """``fp, check, n, text_hash`` of the fingerprints ``mixed``, counted anew by their words."""
-    table = BitTable(mixed)
+    table = BitTable(mixed, "fp")
 
     def count(batches):
-        for _, grams, hashes in by_lang(batches, bits):
+        for grams, hashes in fingerprints(batches, bits):
             at = grams.places(length)
             at = at[table.may_have(grams.at(at, length)[0])]
             fp, check = grams.at(at, length)
+            phrases = [grams.phrase(p, length) for p in at.tolist()]
+            if length == 1:
+                (fp, check), phrases = (np.concatenate(x) for x in zip((fp, check), grams.none())), phrases + [""] * grams.n
+                at = np.concatenate([at, np.arange(grams.n)])
             found: dict[tuple, list] = {}
-            for f, c, p in zip(fp.view("i8").tolist(), check.view("i8").tolist(), at.tolist()):
-                entry = found.setdefault((f, c, grams.phrase(p, length)), [0, 0])
+            for *key, p in zip(fp.view("i8").tolist(), check.view("i8").tolist(), phrases, at.tolist()):
+                entry = found.setdefault(tuple(key), [0, 0])
                 entry[0] += 1
-                entry[1] = int(hashes[grams.texts[p]])
+                entry[1] = int(hashes[grams.text[p]])
             rows = [(*k, *v) for k, v in found.items()]
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
             columns = list(zip(*rows)) or [()] * 5
@@ -221,37 +204,35 @@ def told_apart(texts: DataFrame, mixed: DataFrame, length: int, bits: int) -> Da
     return once.select("fp", "check", F.when(F.col("texts") == 1, F.col("n")).otherwise(both).alias("n"), "text_hash")
 
 
-def frequent(texts: DataFrame, least: int, bits: int) -> tuple[list[DataFrame], DataFrame]:
-    """By length ``fp, check, n, text_hash`` of n-grams with ``least`` occurrences, and words by ``lang``.
+def frequent(texts: DataFrame, least: int, bits: int) -> list[DataFrame]:
+    """By length ``fp, check, n, text_hash`` of n-grams with ``least`` occurrences or more.
 
     Parts of a frequent phrase are as frequent, so longer n-grams are counted only
     where both parts may be.
     """
-    out, table, totals = [], None, None
+    out, table = [], None
     for length in range(1, LONGEST + 1):
-        rows = stored(counted(texts, length, bits, table).where((F.col("n") >= least) | F.col("fp").isNull()), "phrase-counts")
-        if length == 1:
-            totals = rows.where("fp is null").groupBy("lang").agg(F.sum("n").alias("n"))
-        found = rows.where("fp is not null")
+        found = stored(counted(texts, length, bits, table).where(F.col("n") >= least), "phrase-counts")
         plain = found.where("low = high").select("fp", F.col("low").alias("check"), "n", "text_hash")
         mixed = found.where("low < high")
         if mixed.take(1):
             plain = stored(plain.union(told_apart(texts, mixed, length, bits).where(F.col("n") >= least)), "phrase-apart")
         out.append(plain)
         if length < LONGEST:
-            table = BitTable(plain.select("fp"))
-    return out, totals
+            table = BitTable(plain, "fp")
+    return out
 
 
-PHRASES = "fp bigint, check bigint, a bigint, lang string, phrase string, parts array<struct<fp:bigint,check:bigint>>"
+PHRASES = "fp bigint, check bigint, a bigint, lang string, phrase string, parts array<struct<fp:bigint,check:bigint>>, whole bigint"
 
 
 def materialised(texts: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
-    """``fp, check, a, lang, phrase, parts`` of ``fp, check, n, text_hash``: the words, read where they stand.
+    """``fp, check, a, lang, phrase, parts, whole`` of ``fp, check, n, text_hash``: the words, read where they stand.
 
     A text is read once for all phrases that point to it, and of equal texts one. The
     fingerprints found there are those wanted, so a pointer cannot lead to other
-    words. ``parts`` are the first and the last words of each cut, in order.
+    words. ``parts`` are the first and the last words of each cut, in order, ``whole`` is
+    the second fingerprint of its language's phrase without words.
     """
     per = wanted.groupBy("text_hash").agg(F.collect_list(F.struct("fp", "check", "n")).alias("wanted"))
     one = texts.groupBy("text_hash", "lang").agg(F.min("doc_id").alias("id")).join(per, "text_hash")
@@ -265,7 +246,8 @@ def materialised(texts: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
             for text, lang, asked in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "wanted"))):
                 left = {(w["fp"], w["check"]): w["n"] for w in asked}
                 firsts = np.array([k for k, _ in left], "i8").view("u8")
-                grams = Fingerprints([pieces(text)], lang, bits)
+                grams = Fingerprints([text], [lang], bits)
+                whole = int(grams.none()[1].view("i8")[0])
                 for length in range(2, LONGEST + 1):
                     at = grams.places(length)
                     fp, check = grams.at(at, length)
@@ -277,11 +259,11 @@ def materialised(texts: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
                         n = left.pop(key, None)
                         if n is not None:
                             parts = [{"fp": f[i], "check": c[i]} for f, c in cuts]
-                            out.append((*key, n, lang, grams.phrase(place, length), parts))
+                            out.append((*key, n, lang, grams.phrase(place, length), parts, whole))
             part = pa.list_(pa.struct([("fp", pa.int64()), ("check", pa.int64())]))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), part)
-            columns = list(zip(*out)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["fp", "check", "a", "lang", "phrase", "parts"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), part, pa.int64())
+            columns, names = list(zip(*out)) or [()] * 7, ["fp", "check", "a", "lang", "phrase", "parts", "whole"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
     # Rows of one id, language and text are read each; they give the same.
     return met.mapInArrow(read, PHRASES).dropDuplicates(["fp", "check"])
@@ -316,7 +298,7 @@ def collocations(
     An empty table gives an empty result.
     """
     texts = texts_with_lang(docs, id_col, text_col, lang_col)
-    counts, totals = frequent(texts, least, bits)
+    counts = frequent(texts, least, bits)
     every = stored(counts[0].unionByName(counts[1]).unionByName(counts[2]), "phrase-every")
     wanted = counts[1].unionByName(counts[2])
     found = stored(materialised(texts, wanted, bits), "phrase-words")
@@ -329,7 +311,7 @@ def collocations(
     sums = sums.agg(*[F.max(F.when(F.col("place") == i, F.col("n"))).alias(f"n{i}") for i in range(4)])
     long = found.where(F.size("parts") == 4).select("a", F.explode(F.slice("parts", 2, 2)).alias("part"))
     long = long.groupBy(F.col("part.fp").alias("fp"), F.col("part.check").alias("check")).agg(F.max("a").alias("longer"))
-    rows = found.select("fp", "check", "a", "lang", "phrase").join(sums, ["fp", "check"]).join(long, ["fp", "check"], "left")
+    rows = found.select("fp", "check", "a", "lang", "phrase", "whole").join(sums, ["fp", "check"]).join(long, ["fp", "check"], "left")
     rows = rows.where(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a")))
 
     def cut(k: int) -> Column:
@@ -338,7 +320,14 @@ def collocations(
         return F.when(left.isNotNull(), made)
 
     scored = rows.withColumn("cut", F.least(cut(0), cut(1)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    scored = scored.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    best = scored.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= top)
-    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    scored = scored.select("lang", "phrase", "whole", "a", "cut.l", "cut.r", "cut.score", F.pmod("fp", F.lit(PARTS)).alias("part"))
+
+    def ranked(rows: DataFrame, *by: str) -> DataFrame:
+        order = Window.partitionBy("lang", *by).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        return rows.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= top)
+
+    # The best of each part first, so that no task sorts all phrases of one language.
+    best = ranked(ranked(scored, "part"))
+    # One row for each language, whose second fingerprint no n-gram is mixed with.
+    words = counts[0].select(F.col("check").alias("whole"), "n")
+    return best.join(words, "whole").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
