@@ -21,7 +21,7 @@ PARTS = 64
 # Bits of a fingerprint; a second one of 64 bits tells when two phrases share the first.
 BITS = 64
 # Bytes of text whose fingerprints a task sorts together before it hands their counts on.
-TOGETHER = 2_000_000
+TOGETHER = 1_000_000
 # Words of more bytes are hashed one by one: polynomials modulo 2^64 have twins at great length.
 LONG_WORD = 64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
