@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, functions as F
 
 # Smoothing constant and the divisors of the three measures.
@@ -13,11 +14,16 @@ NUMERICAL_SCALE = 15.0
 KL_SCALE = 3.0
 CARDINALITY_SCALE = 2.5
 KS_TERMS = 100
-# Terms of the error function on either side of the split, ample for 1e-15; degrees
-# of freedom up to which the chi-square tail is summed term by term.
-ERFC_TERMS = 120
-ERFC_SPLIT = 1.5
-EXACT_DF = 10_000
+# Cells of the table of paths up to which the two-sample test is exact; beyond it the
+# asymptotic series is used.
+KS_CELLS = 40_000
+# Terms of the incomplete gamma's series and fraction below GAMMA_SPLIT, where that many
+# leave less than 1e-15, and points of its integral from there on.
+GAMMA_TERMS = 120
+GAMMA_SPLIT = 60.0
+GAMMA_POINTS = 64
+# Steps by which the logarithm of the gamma function is moved into the range of its series.
+GAMMA_SHIFT = 12
 
 
 def _zero_to_null(x: Column) -> Column:
@@ -54,7 +60,43 @@ def scaled_sum(term: Column, scale: float) -> Column:
 
 
 def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sample Kolmogorov p-value."""
+    """Two-sided two-sample Kolmogorov p-value.
+
+    Exact while the two sizes multiply to ``KS_CELLS`` at most, else asymptotic.
+    """
+    small = n.cast("bigint") * m.cast("bigint") <= KS_CELLS
+    return F.when(small, ks_exact(statistic, n, m)).otherwise(ks_asymptotic(statistic, n, m))
+
+
+def ks_exact(statistic: Column, n: Column, m: Column) -> Column:
+    """Share of the orders of ``n`` and ``m`` rows whose statistic is at least this one.
+
+    An order is a path over a grid. The share of the paths to a cell that have stayed
+    within the statistic follows from those to the cells below and left of it, each
+    by its part of all paths; cells beyond the statistic have none.
+    """
+    n, m = n.cast("bigint"), m.cast("bigint")
+    # Differences of the two running shares are multiples of 1 / (n m).
+    limit = F.round(statistic * n * m).cast("bigint")
+
+    def cell(i: Column, j: Column, below: Column, left: Column) -> Column:
+        inside = below * i / (i + j) + left * j / (i + j)
+        return F.when(F.abs(i * m - j * n) >= limit, 0.0).when(i + j == 0, 1.0).otherwise(inside)
+
+    def row(above: Column, i: Column) -> Column:
+        def add(made: Column, j: Column) -> Column:
+            left = F.coalesce(F.get(made, (j - 1).cast("int")), F.lit(0.0))
+            return F.concat(made, F.array(cell(i, j, F.coalesce(F.get(above, j.cast("int")), F.lit(0.0)), left)))
+
+        return F.aggregate(F.sequence(F.lit(0).cast("bigint"), m), F.expr("array()").cast("array<double>"), add)
+
+    rows = F.sequence(F.lit(0).cast("bigint"), n)
+    inside = F.aggregate(rows, F.expr("array()").cast("array<double>"), row, lambda last: F.get(last, m.cast("int")))
+    return F.when((n > 0) & (m > 0), F.when(limit <= 0, 1.0).otherwise(F.greatest(F.lit(0.0), 1.0 - inside)))
+
+
+def ks_asymptotic(statistic: Column, n: Column, m: Column) -> Column:
+    """Kolmogorov's series for large samples."""
     n, m = n.cast("double"), m.cast("double")
     z = statistic * F.sqrt(n * m / _zero_to_null(n + m))
     k = F.sequence(F.lit(1), F.lit(KS_TERMS))
@@ -66,51 +108,61 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(z < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
 
 
-def erfc(x: Column) -> Column:
-    """Complementary error function: a series near 0, a continued fraction further out."""
-    z = F.abs(x)
-    # 2 z / sqrt(pi) * exp(-z^2) * sum of (2 z^2)^i / (1 * 3 * ... * (2 i + 1)), all terms positive.
-    near = F.aggregate(
-        F.sequence(F.lit(1), F.lit(ERFC_TERMS)),
-        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")),
-        lambda acc, i: F.struct(
-            (acc["term"] * 2.0 * z * z / (2 * i + 1)).alias("term"),
-            (acc["total"] + acc["term"] * 2.0 * z * z / (2 * i + 1)).alias("total"),
-        ),
-        lambda acc: 1.0 - z * F.exp(-z * z) * acc["total"] * (2.0 / math.sqrt(math.pi)),
-    )
-    # z + (1/2) / (z + (2/2) / (z + (3/2) / ...)), from the inside out.
-    depth = F.aggregate(F.sequence(F.lit(ERFC_TERMS), F.lit(1)), z, lambda acc, i: z + i / 2.0 / acc)
-    far = F.exp(-z * z) / math.sqrt(math.pi) / depth
-    upper = F.when(z < ERFC_SPLIT, near).otherwise(far)
-    return F.when(x < 0, 2.0 - upper).otherwise(upper)
+def log_gamma(a: Column) -> Column:
+    """Logarithm of the gamma function for positive ``a``: Stirling's series, ``GAMMA_SHIFT`` further on."""
+    z = a + float(GAMMA_SHIFT)
+    series = 1.0 / (12.0 * z) - 1.0 / (360.0 * z**3) + 1.0 / (1260.0 * z**5) - 1.0 / (1680.0 * z**7) + 1.0 / (1188.0 * z**9)
+    steps = F.aggregate(F.sequence(F.lit(0), F.lit(GAMMA_SHIFT - 1)), F.lit(0.0), lambda acc, i: acc + F.ln(a + i))
+    return (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2.0 * math.pi) + series - steps
 
 
-def chi_square_p_value(statistic: Column, df: Column) -> Column:
-    """Upper tail of the chi-square distribution; null without a degree of freedom.
+def upper_gamma(a: Column, x: Column) -> Column:
+    """Regularised upper incomplete gamma function of positive ``a`` and ``x``.
 
-    For whole ``df`` the tail is a finite sum of ``df / 2`` terms, taken on a log
-    scale. Above ``EXACT_DF`` it is the cube-root normal approximation, whose
-    error there is below 1e-6.
+    For small ``a`` it is one less the series below ``a + 1``, and the continued
+    fraction above. For large ``a`` the mass between ``x`` and a point where nothing is
+    left is integrated by Gauss and Legendre's points. Either takes a fixed number
+    of terms, and both agree to 1e-12 where they meet.
     """
-    x, k = statistic.cast("double"), df.cast("bigint")
-    h, odd, terms = x / 2.0, k % 2, F.floor(k / 2).cast("int")
-    # Logs of the first term and of each next over the one before it.
-    first = F.when(odd == 0, -h).otherwise(0.5 * F.ln(h) - h - math.log(math.sqrt(math.pi) / 2.0))
-    steps = F.when(terms > 1, F.sequence(F.lit(1), terms - 1)).otherwise(F.expr("array()").cast("array<int>"))
-    total = F.aggregate(
-        steps,
-        F.struct(first.alias("log"), F.exp(first).alias("total")),
-        lambda acc, j: F.struct(
-            (acc["log"] + F.ln(h / (j + odd / 2.0))).alias("log"),
-            (acc["total"] + F.exp(acc["log"] + F.ln(h / (j + odd / 2.0)))).alias("total"),
+    scale = F.exp(a * F.ln(x) - x - log_gamma(a))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(GAMMA_TERMS)),
+        F.struct((1.0 / a).alias("term"), (1.0 / a).alias("total")),
+        lambda acc, i: F.struct(
+            (acc["term"] * x / (a + i)).alias("term"), (acc["total"] + acc["term"] * x / (a + i)).alias("total")
         ),
         lambda acc: acc["total"],
     )
-    exact = F.when(odd == 0, total).otherwise(erfc(F.sqrt(h)) + F.when(terms > 0, total).otherwise(0.0))
-    spread = 2.0 / (9.0 * k)
-    normal = 0.5 * erfc((F.cbrt(x / k) - (1.0 - spread)) / F.sqrt(spread) / math.sqrt(2.0))
-    tail = F.when(k <= EXACT_DF, exact).otherwise(normal)
+    # x + 1 - a - 1 (1 - a) / (x + 3 - a - 2 (2 - a) / (...)), from the inside out.
+    fraction = F.aggregate(
+        F.sequence(F.lit(GAMMA_TERMS), F.lit(1)),
+        x + (2.0 * GAMMA_TERMS + 1.0) - a,
+        lambda acc, i: x + (2.0 * i - 1.0) - a - i * (i - a) / acc,
+    )
+    few = F.when(x < a + 1.0, 1.0 - scale * series).otherwise(scale / fraction)
+    top, spread = a - 1.0, F.sqrt(F.greatest(a - 1.0, F.lit(1.0)))
+    above = x > top
+    far = F.when(above, F.greatest(top + 11.5 * spread, x + 6.0 * spread)).otherwise(
+        F.greatest(F.lit(0.0), F.least(top - 7.5 * spread, x - 5.0 * spread))
+    )
+    points, weights = np.polynomial.legendre.leggauss(GAMMA_POINTS)
+    nodes = F.array(*[F.struct(F.lit((p + 1) / 2).alias("p"), F.lit(w / 2).alias("w")) for p, w in zip(points.tolist(), weights.tolist())])
+    peak = top * F.ln(top) - top - log_gamma(a)
+    mass = F.aggregate(
+        nodes,
+        F.lit(0.0),
+        lambda acc, v: acc + v["w"] * F.exp(top * F.ln((x + (far - x) * v["p"]) / top) - (x + (far - x) * v["p"] - top)),
+    )
+    mass = mass * F.abs(far - x) * F.exp(peak)
+    many = F.when(above, mass).otherwise(1.0 - mass)
+    return F.when(a < GAMMA_SPLIT, few).otherwise(many)
+
+
+def chi_square_p_value(statistic: Column, df: Column) -> Column:
+    """Upper tail of the chi-square distribution; null without a degree of freedom."""
+    x, k = statistic.cast("double"), df.cast("double")
+    # Both are computed once, however often the terms name them.
+    tail = F.get(F.transform(F.array(F.struct((k / 2.0).alias("a"), (x / 2.0).alias("x"))), lambda v: upper_gamma(v["a"], v["x"])), F.lit(0))
     bounded = F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail))
     return (
         F.when(x.isNull() | k.isNull() | F.isnan(x) | (k < 1), None)
