@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline.functions.cleaning import as_text
 from plumbline.operators.metrics import class_weights
 from plumbline.operators.profile import categorical_profile, moments, numeric_long
-from plumbline.operators.ranks import dense_codes, drop_nan, exact_quantiles, order_statistics
+from plumbline.operators.ranks import dense_codes, drop_nan, exact_quantiles, melt, order_statistics, running_totals
 from plumbline.schemas import HIGH_CARD_FEATURES, LOW_CARD_FEATURES, NUMERIC_FEATURES
-from plumbline.session import broadcast_checked, one_row
+from plumbline.session import BROADCAST_ROWS, broadcast_checked, cut_lineage, one_row
 
 # Class boundaries, split, seed and hash width.
 TARGET_QUANTILES = (0.0, 0.4, 0.8, 1.0)
@@ -132,14 +132,31 @@ def label_encode(df: DataFrame, column: str, output: str) -> DataFrame:
     return df.join(codes, F.col(f"`{column}`") == F.col("_value"), "left").drop("_value")
 
 
+def text_codes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``feature, value, code``: places of the sorted distinct values of all columns, found together."""
+    values = melt(df, columns, "string").where("value is not null").distinct()
+    run = running_totals(values.withColumn("one", F.lit(1).cast("bigint")), ["value"], ["one"], by=["feature"])
+    return cut_lineage(run.select("feature", "value", F.col("before_one").alias("code")), "text-codes")
+
+
 def label_encode_all(df: DataFrame) -> DataFrame:
-    """Replaces every text column by its codes."""
+    """Replaces every text column by its codes.
+
+    All columns are coded in one pass over the rows, whatever their number.
+    """
+    columns = [name for name, kind in df.dtypes if kind == "string"]
+    if not columns:
+        return df
+    codes = text_codes(df, columns)
+    known = codes.limit(BROADCAST_ROWS + 1).collect()
+    small = len(known) <= BROADCAST_ROWS
+    if small:
+        codes = df.sparkSession.createDataFrame(known, codes.schema)
     out = df
-    for name, kind in df.dtypes:
-        if kind == "string":
-            out = label_encode(out, name, f"_code_{name}")
-            out = out.withColumn(name, F.col(f"_code_{name}")).drop(f"_code_{name}")
-    return out.select(df.columns)
+    for i, name in enumerate(columns):
+        own = codes.where(F.col("feature") == name).select(F.col("value").alias(f"_value{i}"), F.col("code").alias(f"_code{i}"))
+        out = out.join(F.broadcast(own) if small else own, F.col(f"`{name}`") == F.col(f"_value{i}"), "left")
+    return out.select([F.col(f"_code{columns.index(c)}").alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
 
 
 def add_class_weights(df: DataFrame, label: str, power: int = 1, output: str = "weight") -> DataFrame:

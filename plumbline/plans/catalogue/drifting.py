@@ -23,7 +23,9 @@ from plumbline.plans.catalogue.base import (
     tidy,
 )
 from plumbline.operators.counts import new_category_list as new_category_table
+from plumbline.plans.flows import recorded_monitoring
 from plumbline.session import scratch_path
+from plumbline.sources.runs import MONITOR_KEYS, latest_runs, read_runs
 
 CFG = M.MonitorConfig(category="priority", high_cardinality="address")
 
@@ -113,19 +115,21 @@ def chi_square(spark, sf_dir):
 # --- validation ---------------------------------------------------------------
 
 
-def _checks_inputs(spark, sf_dir):
-    """The halves with the columns to validate; ``region`` is missing in production."""
+def _checks_inputs(spark, sf_dir, *more):
+    """The halves with the columns to validate, and others; ``region`` is missing in production."""
     ref, prod = _halves(spark, sf_dir)
     key = F.col("o_orderkey")
     empty = F.lit(None).cast("double")
     ref = ref.select(
         "priority", "status", "price", (key % 7).cast("double").alias("level"),
         F.pow(key % 50, 6).alias("tail"), key.cast("double").alias("gone"), F.col("status").alias("region"),
+        *[c for c in more if c in ref.columns],
     )
     prod = prod.select(
         "priority", "status", "price",
         F.when(key % 8 == 0, F.lit(None)).otherwise(key % 7).cast("double").alias("level"),
         F.pow(key % 50, 6).alias("tail"), empty.alias("gone"),
+        *[c for c in more if c in prod.columns],
     )
     return ref, prod
 
@@ -325,6 +329,26 @@ def retrain_decision(spark, sf_dir):
     return M.retrain_decision(_metrics(spark, sf_dir), V.validate(*_checks_inputs(spark, sf_dir)), CFG)
 
 
+@query(
+    "monitor_run_recorded",
+    f"""WITH {METRICS_SQL}, {_CHECKS_ONLY},
+       a AS (SELECT count(*) FILTER (value > threshold) AS drift FROM metrics),
+       c AS (SELECT count(*) FILTER (level = 'alert') AS alerts, count(*) FILTER (level = 'warning') AS warnings FROM checks)
+       SELECT max(round(value, 6)) FILTER (metric = 'category_psi') AS category_psi, max(round(value, 6)) FILTER (metric = 'cardinality_ratio') AS cardinality_ratio,
+         max(round(value, 6)) FILTER (metric = 'prediction_kl') AS prediction_kl, any_value(drift + alerts)::DOUBLE AS total_alerts,
+         any_value(least(drift, 3))::DOUBLE AS drift_severity, any_value(alerts)::DOUBLE AS feature_validation_alerts,
+         any_value(drift + alerts >= 3)::VARCHAR AS retrain, 1::BIGINT AS start_times FROM metrics, a, c""",
+)
+def monitor_run_recorded(spark, sf_dir):
+    """A monitoring run as the run store has it: the dashboard's keys, one start time for all rows."""
+    ref, prod = _checks_inputs(spark, sf_dir, "address", "price_category", "prediction")
+    out = scratch_path(spark, "monitor-run")
+    run = recorded_monitoring(ref, prod, prod, f"{out}/runs", out, CFG, skip=("address", "price_category", "prediction"))
+    rows = read_runs(spark, f"{out}/runs", "monitoring").where(F.col("run_id") == run.run_id)
+    wide = latest_runs(rows, MONITOR_KEYS, params=["retrain"]).select(*MONITOR_KEYS, F.lower("retrain").alias("retrain"))
+    return tidy(wide.withColumn("start_times", rows.select(F.count_distinct("start_time")).scalar()))
+
+
 def _stats_inputs(spark, sf_dir):
     ref, prod = _halves(spark, sf_dir)
     return ref.drop("price_category"), prod.drop("prediction")

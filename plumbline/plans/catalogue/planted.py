@@ -15,7 +15,9 @@ from plumbline.plans.boosting import SoftmaxBoosted, train_softmax_boosted
 from plumbline.plans.catalogue.base import query, table, tidy
 from plumbline.plans.catalogue.measuring import CLASSES_SQL
 from plumbline.plans.evaluation import continuous_evaluation, evaluate_model
+from plumbline.plans.flows import recorded_training
 from plumbline.session import scratch_path
+from plumbline.sources.runs import read_runs
 
 PREDICTED = "SELECT o_orderkey, (o_orderkey % 3)::DOUBLE AS prediction, true AS sure FROM orders WHERE o_orderkey % 5 = 0"
 SCORED = "scored AS (SELECT o_orderkey % 3 AS label, o_orderkey % 3 AS prediction FROM orders WHERE o_orderkey % 5 = 0)"
@@ -123,3 +125,20 @@ def planted_continuous_evaluation(spark, sf_dir):
     key = F.col("o_orderkey")
     predictions = model.transform(train.where(key % 7 < key % 3 + 3)).select("prediction")
     return tidy(continuous_evaluation(model, test, predictions))
+
+
+@query(
+    "training_run_recorded",
+    f"""WITH {SCORED}, {CLASSES_SQL}
+       SELECT metric || CASE label WHEN '0' THEN '_low' WHEN '1' THEN '_medium' WHEN '2' THEN '_high' ELSE '' END AS key, round(value, 6) AS num_value, NULL::VARCHAR AS str_value FROM metrics
+       UNION ALL SELECT 'roc_auc_class' || unnest(['_low', '_medium', '_high']), 1.0, NULL
+       UNION ALL SELECT unnest(['roc_auc_macro', 'roc_auc_weighted']), 1.0, NULL
+       UNION ALL SELECT unnest(['model', 'depth']), NULL, unnest(['DecisionTreeClassificationModel', '10'])""",
+)
+def training_run_recorded(spark, sf_dir):
+    """What a training run leaves in the run store: one run, one start time."""
+    train, test = planted(spark, sf_dir)
+    out = scratch_path(spark, "training-run")
+    run, _ = recorded_training(train, test, L.train_tree, f"{out}/runs", out, depth=10)
+    rows = read_runs(spark, f"{out}/runs", "training").where(F.col("run_id") == run.run_id)
+    return tidy(rows.select("key", "num_value", "str_value"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from plumbline.schemas import RUN_METRICS
 from plumbline.sources.tables import read_or_empty
@@ -40,13 +40,18 @@ TREND_KEYS = ["accuracy", "macro_precision", "macro_recall", "macro_f1"]
 CLASSES = ["low", "medium", "high"]
 
 
+def _stamp(run: dict) -> Column:
+    """The run's start time; the time of writing for a run that names none."""
+    return F.lit(run["start_time"]).cast("timestamp") if "start_time" in run else F.current_timestamp()
+
+
 def metric_rows(df: DataFrame, run: dict[str, str], key: str = "metric", value: str = "value") -> DataFrame:
     """Numeric metrics of one run in the store's schema; missing values are left out."""
     return df.where(F.col(value).isNotNull()).select(
         F.lit(run["run_id"]).alias("run_id"),
         F.lit(run["experiment"]).alias("experiment"),
         F.lit(run["run_name"]).alias("run_name"),
-        F.current_timestamp().alias("start_time"),
+        _stamp(run).alias("start_time"),
         F.lit("metric").alias("kind"),
         F.col(key).alias("key"),
         F.col(value).cast("double").alias("num_value"),
@@ -61,7 +66,7 @@ def param_rows(spark: SparkSession, params: dict[str, object], run: dict[str, st
         F.lit(run["run_id"]).alias("run_id"),
         F.lit(run["experiment"]).alias("experiment"),
         F.lit(run["run_name"]).alias("run_name"),
-        F.current_timestamp().alias("start_time"),
+        _stamp(run).alias("start_time"),
         F.lit("param").alias("kind"),
         "key",
         F.lit(None).cast("double").alias("num_value"),

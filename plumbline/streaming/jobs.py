@@ -17,6 +17,7 @@ from plumbline.functions.terms import share
 from plumbline.plans.scoring import score
 from plumbline.session import cut_lineage, one_row
 from plumbline.sources.requests import check_requests, rejected_requests, valid_requests
+from plumbline.sources.tables import try_read
 
 # Fixed value: length of a monitoring period.
 MONITOR_PERIOD = "30 minutes"
@@ -147,31 +148,39 @@ def window_cardinality(stream: DataFrame, ts: str, column: str, late: str = "1 h
     return out.select(F.col("w.start").alias("start"), "n_distinct")
 
 
-def score_stream(
-    stream: DataFrame,
-    transforms: PipelineModel,
-    model: Transformer,
-    path: str,
-    checkpoint: str,
-    body: str | None = None,
-    trigger: dict | None = None,
-) -> list[StreamingQuery]:
-    """Check, score and log requests; rejected ones go to their own files.
+class ScoreSink:
+    """Scored and rejected requests of each micro-batch, in two tables that agree.
 
-    Input and prediction are one row of one file sink, so neither is logged
-    without the other. ``stream`` has a ``request_id``.
+    A batch is read and checked once, then written as scored and as rejected rows under
+    its id, then marked as done. Readers take done batches only, so neither table has a
+    batch without the other; a batch that is repeated after its mark changes nothing.
     """
-    checked = check_requests(stream, body=body)
-    scored = score(valid_requests(checked), transforms, model).withColumn("timestamp", F.current_timestamp())
-    rejected = rejected_requests(checked).withColumn("timestamp", F.current_timestamp())
 
-    def sink(df: DataFrame, name: str) -> StreamingQuery:
+    def __init__(self, transforms: PipelineModel, model: Transformer, path: str, body: str | None = None):
+        self.transforms, self.model, self.path, self.body = transforms, model, path, body
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if try_read(spark, f"{self.path}/done/batch_id={batch_id}") is not None:
+            return
+        checked = cut_lineage(check_requests(batch, body=self.body), "checked-requests")
+        stamp = F.current_timestamp().alias("timestamp")
+        scored = score(valid_requests(checked), self.transforms, self.model).select("*", stamp)
+        rejected = rejected_requests(checked).select("*", stamp)
+        for name, rows in (("scored", scored), ("rejected", rejected)):
+            rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id={batch_id}")
+        counts = checked.agg(F.count("*").alias("requests"))
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/done/batch_id={batch_id}")
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        """``scored`` or ``rejected`` rows of the batches that are done."""
+        done = spark.read.parquet(f"{self.path}/done").select("batch_id").distinct()
+        return spark.read.parquet(f"{self.path}/{name}").join(F.broadcast(done), "batch_id", "left_semi")
+
+    def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         return (
-            df.writeStream.format("parquet")
-            .option("path", f"{path}/{name}")
-            .option("checkpointLocation", f"{checkpoint}/{name}")
+            stream.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
+            .foreachBatch(self.write)
             .start()
         )
-
-    return [sink(scored, "scored"), sink(rejected, "rejected")]
