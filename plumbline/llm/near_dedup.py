@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.llm.common import slices, stored, texts_of
+from plumbline.llm.common import BitTable, slices, stored, texts_of
 from plumbline.llm.shingles import folded_words, minima, shingle_hashes, universal_hashes
 
 WIDTH = 5
@@ -17,12 +17,14 @@ PERCENT = 80
 BANDS = 40
 ROWS = 6
 SEED = 20_241
-# A bucket with more components than this is split by further bands before pairs are formed.
+# A bucket with more components than this is split by its members' rarest shingles.
 FULL = 512
+# Counters of shingles that say how rare each is in such buckets (8 MB).
+COUNTERS = 1 << 20
 # One bit of each of 240 minima. At similarity 0.8 nine tenths agree; a pair below
-# this many agreeing bits, 4.5 deviations less, is not worth comparing.
+# this many agreeing bits, 6.7 deviations less, is not worth comparing (once in 600 million times).
 BIT_WORDS = 4
-LEAST_BITS = 0.813
+LEAST_BITS = 0.77
 # Bitmaps of the shingles in which a member and its bucket's leader differ, in 64-bit words.
 MAP_WORDS = 8
 
@@ -79,12 +81,16 @@ def signatures(docs: DataFrame, width: int = WIDTH, bands: int = BANDS, rows: in
     return docs.mapInArrow(sign, SIGNATURE)
 
 
-def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``id, shingles`` of each row of ``doc_id, text``."""
+def shingle_sets(docs: DataFrame, width: int, wanted: BitTable) -> DataFrame:
+    """``id, shingles`` of the rows of ``doc_id, text`` whose id may be in the table.
+
+    Whole texts are read where they lie; neither they nor their ids are shuffled.
+    """
 
     def sets(batches):
         for batch in batches:
-            for part in slices(batch, 2_000_000):
+            hashes = batch.column("id_hash").to_numpy().view("u8")
+            for part in slices(batch.filter(pa.array(wanted.may_have(hashes)))):
                 found = [np.unique(shingle_hashes(folded_words(t), width)) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -93,7 +99,52 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     }
                 )
 
-    return docs.mapInArrow(sets, "id bigint, shingles array<bigint>")
+    rows = docs.withColumn("id_hash", F.xxhash64("doc_id"))
+    return rows.mapInArrow(sets, "id bigint, shingles array<bigint>")
+
+
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, id, component``: so many of a set's rarest shingles that sets which link share one.
+
+    ``sets`` has ``id, component, shingles``. Two sets that link have ``percent``
+    hundredths of either in common, so whatever order shingles stand in, each set's
+    first ones, up to one more than may be missing, hold a common one. Here the
+    rarest stand first, by counters that shingles may share: a passage that all members
+    have comes last, and shingles of one set alone are left out.
+    """
+    slot = np.uint64(COUNTERS - 1)
+
+    def count(batches):
+        total = np.zeros(COUNTERS, "i8")
+        for batch in batches:
+            values = batch.column("shingles").flatten().to_numpy().view("u8")
+            total += np.bincount((values & slot).view("i8"), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
+
+    summed = sets.select("shingles").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counters = np.zeros(COUNTERS, "i8")
+    counters[summed.column("slot").to_numpy()] = summed.column("n").to_numpy()
+    counts = sets.sparkSession.sparkContext.broadcast(counters)
+
+    def first(batches):
+        for batch in batches:
+            keys, ids, components_ = [], [], []
+            columns = (batch.column(c) for c in ("id", "component", "shingles"))
+            for k, component, values in zip(*columns):
+                own = values.values.to_numpy().view("u8")
+                n = counts.value[own & slot]
+                most = len(own) - -(-percent * len(own) // 100) + 1
+                rare = np.lexsort((own, n))[:most]
+                rare = own[rare[n[rare] > 1]]
+                keys.append(rare.view("i8"))
+                ids.append(np.full(len(rare), k.as_py()))
+                components_.append(np.full(len(rare), component.as_py()))
+            if keys:
+                made = [pa.array(np.concatenate(x).astype("i8")) for x in (keys, ids, components_)]
+                yield pa.RecordBatch.from_arrays(made, ["key", "id", "component"])
+
+    return sets.mapInArrow(first, "key bigint, id bigint, component bigint")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -136,6 +187,7 @@ class _Search:
     def __init__(self, reps: DataFrame, texts: DataFrame, width: int, percent: int, hashes: int):
         self.reps, self.texts, self.width, self.percent, self.hashes = reps, texts, width, percent, hashes
         self.seen: DataFrame | None = None
+        self.sets: DataFrame | None = None
 
     def may_link(self) -> Column:
         """Whether sizes and signature bits of ``n_a, bits_a`` and ``n_b, bits_b`` leave room for a link."""
@@ -157,12 +209,10 @@ class _Search:
         near = pairs.join(self.side(about, "a"), F.col("a") == F.col("id_a"))
         near = near.join(self.side(about, "b"), F.col("b") == F.col("id_b"))
         near = stored(near.where(self.may_link()).select("a", "b", "n_a", "n_b"), "near-pairs")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = stored(shingle_sets(self.texts.join(wanted, "doc_id", "left_semi"), self.width), "near-sets")
         both = F.size(F.array_intersect("set_a", "set_b"))
         close = 100 * both >= self.percent * (F.col("n_a") + F.col("n_b") - both)
         self.seen = near.select("a", "b")
-        met = near.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
+        met = near.join(self.sets.toDF("b", "set_b"), "b").join(self.sets.toDF("a", "set_a"), "a")
         return stored(met.where(close).select("a", "b"), "near-links")
 
     def leaders(self, buckets: DataFrame) -> DataFrame:
@@ -174,6 +224,8 @@ class _Search:
         """
         full = buckets.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
         crowded = stored(buckets.join(full, "key"), "near-buckets")
+        members = stored(crowded.select("id").distinct().select(F.xxhash64("id").alias("id_hash")), "near-members")
+        self.sets = stored(shingle_sets(self.texts, self.width, BitTable(members, "id_hash")), "near-sets")
         met = crowded.groupBy("id").agg(F.sum("members").alias("met"))
         first = crowded.join(met, "id").groupBy("key").agg(F.max(F.struct("met", -F.col("id")))["col2"].alias("least"))
         first = first.select("key", (-F.col("least")).alias("lead"))
@@ -184,20 +236,20 @@ class _Search:
 
         ``buckets`` has ``key, id, lead, component``. In each bucket the members
         outside its largest component meet all others, so members that links have
-        joined already are never paired, however many they are.
+        joined already are never paired, however many they are. Members of a bucket with
+        over ``FULL`` components meet by their rarest shingles instead of by its key.
         """
         crowd = stored(self._crowd(buckets), "near-crowd")
-        buckets = stored(buckets.join(crowd.select("key"), "key", "left_semi"), "near-parted")
-        self.lines = self.outlines(buckets.select("lead", "id").distinct())
-        pairs = self._meet(buckets, crowd.where(F.col("components") <= FULL))
-        over = crowd.where(F.col("components") > FULL).select("key")
+        buckets = stored(buckets.join(crowd, "key"), "near-parted")
+        some = buckets.where(F.col("components") <= FULL)
+        self.lines = self.outlines(some.select("lead", "id").distinct())
+        pairs = self._meet(some)
+        over = buckets.where(F.col("components") > FULL).select("id", "component").distinct()
         if not over.take(1):
             return pairs
-        further = self.reps.select("id", F.posexplode("bands").alias("place", "next"))
-        split = buckets.join(over, "key", "left_semi").join(further, "id")
-        split = split.withColumn("key", F.xxhash64("key", "place", "next")).select(*buckets.columns)
-        split = stored(split, "near-split")
-        return pairs.union(self._meet(split, self._crowd(split)))
+        split = stored(rare_shingles(over.join(self.sets, "id"), self.percent), "near-split")
+        split = split.join(self._crowd(split), "key").join(self.reps.select("id", "n", "bits"), "id")
+        return pairs.union(self._pairs(stored(split, "near-rare"), self.may_link()))
 
     def _crowd(self, buckets: DataFrame) -> DataFrame:
         """``key, components, base`` of the buckets that two or more components meet in."""
@@ -211,9 +263,7 @@ class _Search:
         ``less`` and ``more`` are bitmaps of the shingles that the member lacks of its
         leader's and has beside them, ``added`` the number of the latter.
         """
-        wanted = pairs.select(F.explode(F.array("lead", "id")).alias("doc_id")).distinct()
-        sets = stored(shingle_sets(self.texts.join(wanted, "doc_id", "left_semi"), self.width), "near-members")
-        met = pairs.join(sets.toDF("id", "own"), "id").join(sets.toDF("lead", "led"), "lead")
+        met = pairs.join(self.sets.toDF("id", "own"), "id").join(self.sets.toDF("lead", "led"), "lead")
         return stored(
             met.select(
                 "lead",
@@ -251,15 +301,17 @@ class _Search:
         both = F.col("lead_n_a") - lacking + beside
         return (100 + self.percent) * both >= self.percent * (F.col("n_a") + F.col("n_b"))
 
-    def _meet(self, buckets: DataFrame, crowd: DataFrame) -> DataFrame:
+    def _meet(self, buckets: DataFrame) -> DataFrame:
         about = self.lines.join(self.reps.select("id", "n", "bits"), "id")
-        base = crowd.select("key", "base")
-        rows = stored(buckets.join(base, "key").join(about, ["lead", "id"]), "near-met")
+        rows = stored(buckets.drop("components").join(about, ["lead", "id"]), "near-met")
+        return self._pairs(rows, self.may_link() & self.may_overlap())
+
+    def _pairs(self, rows: DataFrame, room: Column) -> DataFrame:
+        """``a, b`` of members of one key that are in different components, one outside its largest."""
         a = self.side(rows.where("component <> base").drop("base"), "a")
         b = self.side(rows.drop("base"), "b")
         on = (F.col("key_a") == F.col("key_b")) & (F.col("component_a") != F.col("component_b"))
-        on &= self.may_link() & self.may_overlap()
-        return a.join(b, on).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+        return a.join(b, on & room).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
 def bitmap(values: Column) -> Column:
@@ -295,11 +347,11 @@ def near_groups(
     full sets. Where links then leave several components in a bucket, the members
     outside the largest are compared with all those of other components: what each
     lacks of the leader's set and has beside it bounds what two can share, and full
-    sets decide where the bound leaves room. A bucket
-    with over 512 components is split by each other band key first, so a passage that
-    very many otherwise different documents share does not lead to all their pairs;
-    a pair that links there by this one band alone, of 40, is the one case left out
-    (once in 13,000 times at similarity 0.8, as a pair without any common band).
+    sets decide where the bound leaves room. In a bucket with over 512 components, as
+    of a passage that very many otherwise different documents share, those members are
+    compared that have one of their rarest shingles in common, of which any two that
+    link share one. So the only links left out are those that share no band (once in
+    190,000 times at similarity 0.8) or whose signatures mislead (once in 600 million).
 
     Texts without words or null have 0 shingles and link with nothing; fewer words
     than ``width`` are one shingle. A null id links with nothing and is kept; rows
