@@ -11,7 +11,7 @@ from plumbline.plans.catalogue.drifting import CFG, METRICS_SQL
 from plumbline.plans.catalogue.measuring import CLASSES_SQL
 from plumbline.session import scratch_path
 from plumbline.sources import runs as R
-from plumbline.sources.logs import append_log, append_rows, read_log
+from plumbline.sources.logs import append_log, append_rows, compact_log, read_log
 from plumbline.sources.tables import source_status as status_of
 
 KEYS = ["click", "error", "purchase", "signup", "view"]
@@ -177,10 +177,37 @@ def append_logs(spark, sf_dir):
     early = F.col("ts") < day(EVENT_CUT)
     append_log(e.where(early).select("event_id", "event_type", "value", F.lit(True).alias("early")), path)
     append_log(e.where(~early).select("event_id", "event_type", "props", F.lit(False).alias("early")), path)
-    log = read_log(spark, path, T.StructType([T.StructField("event_id", T.LongType())]))
+    stamp = T.StructField("timestamp", T.TimestampType())
+    schema = T.StructType([*e.select("event_id", "event_type", "value", "props").schema, T.StructField("early", T.BooleanType()), stamp])
+    log = read_log(spark, path, schema)
     return log.select("event_id", "event_type", "value", "props", "early", F.col("timestamp").isNotNull().alias("stamped"))
 
 
+@query(
+    "compacted_log",
+    """SELECT event_id, event_type, CASE WHEN event_id % 3 = 0 THEN value END AS value, ts::DATE AS day, 1::BIGINT AS files FROM events WHERE event_id % 3 < 2
+       UNION ALL SELECT event_id, event_type, NULL, ts::DATE, 2 FROM events WHERE event_id % 3 = 2""",
+)
+def compacted_log(spark, sf_dir):
+    """Events appended in four parts, the first three compacted to a file a day, the last appended after."""
+    path = scratch_path(spark, "log")
+    e = table(spark, sf_dir, "events").withColumn("timestamp", F.col("ts").cast("timestamp"))
+    schema = T.StructType([*e.select("event_id", "event_type", "value", "timestamp").schema, T.StructField("day", T.DateType())])
+    part = F.col("event_id") % 3
+    append_log(e.where((part == 0) & (F.col("value") < 50)).select("event_id", "event_type", "value", "timestamp"), path)
+    append_log(e.where((part == 0) & ~(F.col("value") < 50)).select("event_id", "event_type", "value", "timestamp"), path)
+    append_log(e.where(part == 1).select("event_id", "event_type", "timestamp"), path)
+    compact_log(spark, path, schema)
+    append_log(e.where(part == 2).select("event_id", "event_type", "timestamp"), path)
+    # Compacted rows are in one file for each of their days.
+    log = read_log(spark, path, schema).withColumn("file", F.input_file_name())
+    old = log.where(F.col("event_id") % 3 < 2)
+    files = old.groupBy("day").agg(F.count_distinct("file").alias("files"))
+    late = log.where(F.col("event_id") % 3 == 2).withColumn("files", F.lit(2).cast("bigint"))
+    columns = ["event_id", "event_type", "value", "day", "files"]
+    return old.join(files, "day").select(columns).unionByName(late.select(columns))
+
+
 @query(
     "union_rows",
     f"""SELECT event_id, value, NULL AS props FROM events WHERE ts < TIMESTAMP '{EVENT_CUT}'

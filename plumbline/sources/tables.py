@@ -40,19 +40,23 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def try_read(spark: SparkSession, path: str, merge: bool = False) -> DataFrame | None:
+def try_read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The table at ``path``, or None if there is none or it has no files yet."""
     try:
-        return spark.read.option("mergeSchema", merge).parquet(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, merge: bool = False) -> DataFrame:
-    """The table at ``path``, or an empty one of the declared schema if it is missing."""
-    found = try_read(spark, path, merge)
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path`` in the declared schema, empty if it is missing.
+
+    Columns that a file lacks are null; no file is opened to find out.
+    """
+    found = try_read(spark, path, schema)
     return spark.createDataFrame([], schema) if found is None else found
 
 
