@@ -10,14 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.llm.common import SPACE, col, stored, texts_of, words
+from plumbline.operators.ranks import exact_quantiles
 
-# Slots of the hashed n-grams, a power of two: so many at least, and one for so many characters.
-SLOTS = 16_384
-SLOT_CHARS = 256
+# Slots of the hashed n-grams, a power of two. The hash space is the method's own parameter:
+# every n-gram of every document is counted in it, and its ratios are one row of 2 MB.
+SLOTS = 1 << 18
+# Of so many trusted documents one, by the hash of its id, sets the threshold and is not learnt from.
+FOLDS = 3
 SMOOTHING = 1.0
 # Ratios are added up as integers in units of 2^-32, so that their order does not count.
 UNIT = 2.0**32
-# Share of the trusted documents whose score may lie below the threshold.
+# Share of the held-out trusted documents whose score may lie below the threshold.
 TAIL = 0.005
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -42,51 +45,68 @@ def paired(x: Column, step: int) -> Column:
     return F.zip_with(F.slice(x, 1, n), F.slice(x, step + 1, n), lambda a, b: F.xxhash64(a, b))
 
 
-def fold(gram: Column, slots: int) -> Column:
-    return gram.bitwiseAND(F.lit(slots - 1).cast("bigint"))
+def slot_of(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(SLOTS - 1).cast("bigint"))
 
 
-def slots_for(rows: DataFrame) -> int:
-    """The power of two from ``SLOTS`` on that has a slot for each ``SLOT_CHARS`` characters.
+def one_array(rows: DataFrame, label: str) -> Column:
+    """``value`` by ``slot`` as an array of ``SLOTS`` entries, 0 where there is none.
 
-    Distinct n-grams grow nearly as the text does, so a slot holds about 20 of them
-    at any size of the corpus.
+    It is stored as one row and read as a scalar, so its size is the same for any corpus.
     """
-    chars = rows.agg(F.sum(F.length("text").cast("bigint")).alias("n")).first()["n"] or 0
-    return max(SLOTS, 1 << (-(-chars // SLOT_CHARS) - 1).bit_length() if chars else SLOTS)
+    none = rows.sparkSession.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("value"))
+    full = rows.select("slot", "value").union(none).groupBy("slot").agg(F.sum("value").alias("value"))
+    listed = full.agg(F.sort_array(F.collect_list(F.struct("slot", "value"))).alias("found"))
+    listed = stored(listed.select(F.transform("found", lambda x: x["value"]).alias("values")), label)
+    return listed.select("values").scalar()
 
 
-def slot_ratios(rows: DataFrame, slots: int) -> DataFrame:
-    """``slot, ratio``: log-likelihood ratio, trusted to all documents, of each slot met.
+def trusted_texts(rows: DataFrame, good: DataFrame) -> DataFrame:
+    """``text`` of the rows whose id is in ``good``.
 
-    ``rows`` has ``text, trusted``. Counts are summed per task before the shuffle and
-    stay a table; their two totals reach the driver.
+    A table of ``64 * SLOTS`` bits, one set for each good id, first leaves out most
+    other texts, so that these are not shuffled to be joined.
     """
-    counts = (
-        rows.select("trusted", F.explode(grams_of(F.col("text"))).alias("gram"))
-        .groupBy(fold(F.col("gram"), slots).alias("slot"))
-        .agg(F.count("*").alias("raw"), F.count_if("trusted").alias("good"))
-    )
-    counts = stored(counts, "slot-counts")
-    total = counts.agg(F.sum("good").alias("good"), F.sum("raw").alias("raw")).first()
+    slot = lambda x: F.xxhash64(x).bitwiseAND(F.lit(64 * SLOTS - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot("good_id").bitwiseAND(F.lit(63)).cast("int"))
+    words = good.groupBy(F.shiftright(slot("good_id"), 6).alias("slot")).agg(F.bit_or(bit).alias("value"))
+    word = F.get(one_array(words, "trusted-bits"), F.shiftright(slot("doc_id"), 6).cast("int"))
+    maybe = F.call_function("shiftright", word, slot("doc_id").bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    # Sizes on either side follow the corpus, so Spark's guess must not decide how they are joined.
+    same = F.col("doc_id") == F.col("good_id")
+    return rows.where(F.col("doc_id").isNotNull() & maybe).join(good.hint("merge"), same, "left_semi").select("text")
+
+
+def slot_counts(texts: DataFrame) -> DataFrame:
+    """``slot, n``: n-grams in each slot, summed per task before the shuffle."""
+    grams = texts.select(F.explode(grams_of(F.col("text"))).alias("gram"))
+    return grams.groupBy(slot_of(F.col("gram")).alias("slot")).agg(F.count("*").alias("n"))
+
+
+def slot_ratios(raw: DataFrame, trusted: DataFrame) -> Column:
+    """Log-likelihood ratio of each slot, trusted texts to all, in units of ``1 / UNIT``."""
+    raw = slot_counts(raw).select("slot", F.col("n").alias("raw"), F.lit(0).cast("bigint").alias("good"))
+    good = slot_counts(trusted).select("slot", F.lit(0).cast("bigint"), "n")
+    counts = stored(raw.union(good).groupBy("slot").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")), "slot-counts")
 
     def log_share(name: str) -> Column:
-        return F.log((F.col(name) + SMOOTHING) / F.lit(float((total[name] or 0) + SMOOTHING * slots)))
+        total = F.coalesce(counts.select(F.sum(name)).scalar(), F.lit(0))
+        return F.log((F.col(name) + SMOOTHING) / (total + SMOOTHING * SLOTS))
 
     ratio = F.round((log_share("good") - log_share("raw")) * UNIT).cast("bigint")
-    return stored(counts.select("slot", ratio.alias("ratio")), "slot-ratios")
+    return one_array(counts.select("slot", ratio.alias("value")), "slot-ratios")
 
 
-def mean_ratios(rows: DataFrame, ratios: DataFrame, slots: int) -> DataFrame:
+def mean_ratios(rows: DataFrame, ratios: Column) -> DataFrame:
     """``doc_id, tie, score``: the mean ratio of a text's n-grams, so that length does not count.
 
-    Texts without n-grams have no row. Each n-gram meets its ratio by a join on the
-    slot, so no task holds the table of ratios unless Spark finds it small. Rows
-    equal in id and text add to the same sum and count, which leaves the mean.
+    Texts without n-grams have no row. Each n-gram's ratio is looked up where the text
+    is read, and sums are all that is shuffled. Rows equal in id and text add to the
+    same sum and count, which leaves the mean.
     """
     grams = rows.select("doc_id", "tie", F.explode(grams_of(F.col("text"))).alias("gram"))
-    grams = grams.select("doc_id", "tie", fold(F.col("gram"), slots).alias("slot"))
-    sums = grams.join(ratios, "slot").groupBy("doc_id", "tie").agg(F.sum("ratio").alias("total"), F.count("*").alias("n"))
+    found = grams.select("doc_id", "tie", F.get(ratios, slot_of(F.col("gram")).cast("int")).alias("ratio"))
+    sums = found.groupBy("doc_id", "tie").agg(F.sum("ratio").alias("total"), F.count("*").alias("n"))
     return sums.select("doc_id", "tie", (F.col("total") / F.col("n") / UNIT).alias("score"))
 
 
@@ -151,30 +171,31 @@ def quality(
 ) -> DataFrame:
     """Per document the base counts, ``base_failed, score, threshold, kept``.
 
-    Trusted documents are all those labelled good; the raw corpus is every document.
-    A score is the mean log ratio of a text's hashed unigrams and bigrams between
-    the two multinomials, over slots whose number follows the corpus's size. The threshold is the trusted documents'
-    own ``tail`` quantile, so it follows from the data alone, and the same rule
-    judges every document. A document fails the base rules with under 20 words or
-    with over 30 % of its words in repeated windows of 8.
+    Trusted documents are all those labelled good, but for one in ``FOLDS`` held out;
+    the raw corpus is every document. A score is the mean log ratio of a text's hashed
+    unigrams and bigrams between the two multinomials over ``SLOTS`` slots, looked up
+    where the text is read, so no n-gram is shuffled. The threshold is the
+    ``tail`` quantile of the held-out trusted documents that pass the base rules (of
+    all trusted ones if there are none), so it follows from the data alone, and the
+    same rule judges every document. A document fails the base rules with under 20
+    words or with over 30 % of its words in repeated windows of 8.
 
     Null texts have no words and fail; without labels no document is below the
-    threshold. Rows that share an id are judged apart.
+    threshold. A null id is never trusted. Rows that share an id are judged apart.
     """
     rows = texts_of(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     good = labels.where((col("quality") == 1) & col("doc_id").isNotNull()).select(col("doc_id").alias("good_id")).distinct()
-    slots = slots_for(rows)
-    trusted = F.col("good_id").isNotNull().alias("trusted")
-    marked = rows.join(good, F.col("doc_id") == F.col("good_id"), "left").select("text", trusted)
-    scores = mean_ratios(rows, slot_ratios(marked, slots), slots)
-    scores = stored(scores.withColumnsRenamed({"doc_id": "scored_id", "tie": "scored_tie"}), "quality-means")
+    good = stored(good.withColumn("held", F.pmod(F.xxhash64("good_id"), F.lit(FOLDS)) == 0), "quality-trusted")
+    ratios = slot_ratios(rows.select("text"), trusted_texts(rows, good.where("not held")))
+    scores = mean_ratios(rows, ratios).withColumnsRenamed({"doc_id": "scored_id", "tie": "scored_tie"})
     same = F.col("doc_id").eqNullSafe(F.col("scored_id")) & (F.col("tie") == F.col("scored_tie"))
-    scored = base_counts(rows).drop("text").join(scores, same, "left").drop("tie", "scored_id", "scored_tie")
-    scored = scored.join(good, F.col("doc_id") == F.col("good_id"), "left").select("*", trusted).drop("good_id")
-    scored = stored(scored, "quality-scores")
-    low = scored.where("trusted and score is not null").agg(F.percentile("score", F.lit(tail)).alias("low"))
-    threshold = F.coalesce(low.select("low").scalar(), F.lit(float("-inf")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    scored = base_counts(rows).drop("text").withColumn("base_failed", failed).join(scores, same, "left")
+    scored = stored(scored.drop("tie", "scored_id", "scored_tie"), "quality-scores")
+    judged = scored.where("doc_id is not null and score is not null and not base_failed")
+    marked = stored(judged.join(good, F.col("doc_id") == F.col("good_id")).select("held", "score"), "trusted-scores")
+    low = [exact_quantiles(marked.where(F.col("held") == held), "score", [tail]).select("q0").scalar() for held in (True, False)]
+    threshold = F.coalesce(*low, F.lit(float("-inf")))
     return scored.select(
         "doc_id",
         "n_words",
@@ -182,8 +203,8 @@ def quality(
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        failed.alias("base_failed"),
-        (~failed & F.coalesce(F.col("score") >= threshold, F.lit(False))).alias("kept"),
+        "base_failed",
+        (~F.col("base_failed") & F.coalesce(F.col("score") >= threshold, F.lit(False))).alias("kept"),
         "score",
         threshold.alias("threshold"),
     )
