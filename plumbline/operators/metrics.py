@@ -12,6 +12,8 @@ from plumbline.session import one_row
 # The metrics that are compared between two evaluations.
 COMPARED = ("accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1")
 DEGRADED = 0.05
+# A confusion matrix has a cell for each pair of classes, so there may be so many classes at most.
+MOST_CLASSES = 1_000
 SEVERE = 0.1
 
 
@@ -30,10 +32,15 @@ def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Every cell over the union of true and predicted classes, zeros included."""
+    """Every cell over the union of true and predicted classes, zeros included.
+
+    More than ``MOST_CLASSES`` classes are an error.
+    """
     pairs = pair_counts(df, label, prediction)
     classes = pairs.select(F.explode(F.array("label", "prediction")).alias("c")).distinct()
-    every = one_row(classes.agg(F.collect_set("c").alias("all")))["all"]
+    found = one_row(classes.limit(MOST_CLASSES + 1).agg(F.collect_set("c").alias("all")))["all"]
+    many = F.raise_error(F.lit(f"a confusion matrix has {MOST_CLASSES} classes at most")).cast("array<int>")
+    every = F.when(F.size(found) <= MOST_CLASSES, found).otherwise(many)
     zeros = classes.select(F.col("c").alias("label"), F.explode(every).alias("prediction"), F.lit(0).alias("n"))
     return (
         pairs.unionByName(zeros).groupBy("label", "prediction").agg(F.sum("n").cast("bigint").alias("n"))

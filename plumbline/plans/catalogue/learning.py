@@ -15,9 +15,9 @@ from plumbline.plans.prepare import Prepared, prepare
 from plumbline.plans.scoring import score
 from plumbline.schemas import REQUEST
 from plumbline.session import scratch_path
-from plumbline.sources.artifacts import load_first, save_model
+from plumbline.sources.artifacts import load_first, load_saved, save_model
 from plumbline.sources.requests import check_requests, valid_requests
-from plumbline.sources.tables import read_table
+from plumbline.sources.tables import read_table, try_read
 
 
 def _vectors(spark, sf_dir):
@@ -92,7 +92,8 @@ def fitted_listings(spark, sf_dir):
     A session trains once per folder of tables; its later queries load what that left.
     """
     known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _FITTED:
+    left = _FITTED.get(known)
+    if left is None or try_read(spark, left.train) is None or load_saved(f"{left.folder}/forest", RandomForestClassificationModel.load) is None:
         folder = scratch_path(spark, "model")
         done = prepare(listings_text(spark, sf_dir), "listing_id", folder)
         save_model(L.train_forest(read_table(spark, done.train)), f"{folder}/forest")
