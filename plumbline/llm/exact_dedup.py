@@ -25,7 +25,8 @@ def exact_groups(
     characters, content hash, salt of the id), sorted with the whole text as last
     key, and equal neighbours form a run. The salt has as many values as there are
     shuffle partitions, so a group with a third of all rows spreads over a third of
-    them; its runs are joined by the digest of the whole text, one row per run.
+    them; its runs are joined by the digest of the whole text, one row per run, and its
+    rows find their run by digest and salt.
     Whole texts are shuffled once.
 
     Null texts equal empty ones. A row with a null id counts in its group but stays
@@ -49,6 +50,7 @@ def exact_groups(
     first = F.col("doc_id").asc_nulls_last() if keep == "smallest" else F.col("doc_id").desc_nulls_last()
     runs = placed.select(
         "doc_id",
+        "salt",
         F.unhex(F.sha2("text", 256)).alias("digest"),
         F.row_number().over(run.orderBy(first)).alias("place"),
         F.count("*").over(run).alias("run_size"),
@@ -60,7 +62,9 @@ def exact_groups(
         .agg(pick("doc_id").alias("keep_id"), F.sum("run_size").alias("group_size"))
         .where("group_size > 1")
     )
-    joined = runs.join(groups, "digest", "left")
+    # One row for each run of a group, so that its rows are joined by digest and salt and stay spread.
+    heads = runs.where("place = 1").select("digest", "salt").join(groups, "digest")
+    joined = runs.join(heads, ["digest", "salt"], "left")
     keep_id = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
         "doc_id",
