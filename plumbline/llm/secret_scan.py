@@ -20,8 +20,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex")
 ADDED = "format"
-# What may be a credential: unbroken runs of its characters.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# What may be a credential: unbroken runs of the characters and the least length of assigned values.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 
 # Distinct credentials of each kind that an automaton is inferred from.
@@ -52,10 +52,25 @@ def value_of(text: str, start: int, kind: int, end: int) -> str:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]):
-    """Candidate runs that touch no base match."""
+    """Start and text of the candidate runs that touch no base match.
+
+    ``taken`` are the base matches by start; runs come in that order as well, so both
+    are walked through together. A stop at the end of a run ends a sentence.
+    """
+    ends, latest, at = [], 0, 0
+    for _, _, e in taken:
+        latest = max(latest, e)
+        ends.append(latest)
     for m in CANDIDATE.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, _, e in taken):
-            yield m
+        run = m[0].rstrip(".")
+        if len(run) < 8:
+            continue
+        start, end = m.start(), m.start() + len(run)
+        while at < len(taken) and taken[at][0] < end:
+            at += 1
+        # Of the base matches that begin before the run's end, one reaches into it.
+        if not at or ends[at - 1] <= start:
+            yield start, run
 
 
 class Automaton:
@@ -200,13 +215,15 @@ def learn(texts: DataFrame, labelled: int = LABELLED) -> tuple[list[Automaton],
     def gather(batches):
         for batch in batches:
             for part in slices(batch):
-                found, pairs = set(), Counter()
+                found, runs = set(), Counter()
                 for t in part.column("text").to_pylist():
                     spans = base_spans(t)
                     found.update((KINDS[k], value_of(t, s, k, e)) for s, k, e in spans)
-                    for m in candidates(t, spans):
-                        w = m[0]
-                        pairs.update(map("".join, zip("^" + w, w + "$")))
+                    runs.update(w for _, w in candidates(t, spans))
+                pairs: Counter = Counter()
+                for w, n in runs.items():
+                    for p in map("".join, zip("^" + w, w + "$")):
+                        pairs[p] += n
                 rows = [(k, v, 1) for k, v in found] + [("", p, n) for p, n in pairs.items()]
                 if rows:
                     columns = list(zip(*rows))
@@ -237,8 +254,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row of ``docs``: counts of base matches, their digest, and all spans.
 
     A span is ``kind:start:end`` in code points, the end exclusive. Base spans stand
-    as found. Every other unbroken run of 16 or more credential characters is scored
-    whole: it is a span of kind ``format`` if an automaton inferred from the base
+    as found. Every other unbroken run of 8 or more credential characters, which are
+    those of assigned values, is scored whole, stops at its end aside: it is a span of kind ``format`` if an automaton inferred from the base
     credentials makes it likelier, by ``MARGIN`` a character, than ordinary runs are.
     Without base credentials in the corpus there are no automata and no such spans.
 
@@ -257,15 +274,14 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     base = base_spans(t)
                     spans = list(base)
                     if automata:
-                        for m in candidates(t, base):
-                            w = m[0]
+                        for start, w in candidates(t, base):
                             verdict = known.get(w)
                             if verdict is None:
                                 verdict = is_format(w, automata, ordinary)
                                 if len(known) < 200_000 and len(w) <= 64:
                                     known[w] = verdict
                             if verdict:
-                                spans.append((m.start(), len(KINDS), m.end()))
+                                spans.append((start, len(KINDS), start + len(w)))
                     n = Counter(kind for _, kind, _ in base)
                     digest = hashlib.sha256(joined(base).encode()).hexdigest()
                     out.append((k, n[0], n[1], n[2], digest, joined(spans)))
