@@ -41,8 +41,8 @@ def signatures(docs: DataFrame, width: int = WIDTH, bands: int = BANDS, rows: in
 
     def sign(batches):
         for batch in batches:
-            # Runs of about 2 MB keep the values of one pass in a core's cache.
-            for part in slices(batch, 2_000_000):
+            # Runs of about 1 MB keep the values of one pass in a core's cache.
+            for part in slices(batch):
                 sets = [np.unique(shingle_hashes(folded_words(t), width)) for t in part.column("text").to_pylist()]
                 sizes = np.array([len(s) for s in sets], "i8")
                 some = np.flatnonzero(sizes)
@@ -90,7 +90,7 @@ def shingle_sets(docs: DataFrame, width: int, wanted: BitTable) -> DataFrame:
     def sets(batches):
         for batch in batches:
             hashes = batch.column("id_hash").to_numpy().view("u8")
-            for part in slices(batch.filter(pa.array(wanted.may_have(hashes)))):
+            for part in slices(batch.filter(pa.array(wanted.may_have(hashes))), 500_000):
                 found = [np.unique(shingle_hashes(folded_words(t), width)) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_pydict(
                     {

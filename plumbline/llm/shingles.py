@@ -10,7 +10,7 @@ from plumbline.llm.common import worker_state
 class WordHashes(dict):
     """Hashes of the first words a worker meets, about 130 bytes each; others are hashed each time."""
 
-    MOST = 300_000
+    MOST = 150_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)

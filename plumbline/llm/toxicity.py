@@ -89,7 +89,7 @@ def learn_lexicon(sample: DataFrame, most: int = STEMS) -> dict[str, float]:
 class WordFacts(dict):
     """For a raw word: its lexicon weight and what it looks like, found once per worker and task."""
 
-    MOST = 200_000
+    MOST = 60_000
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
@@ -162,10 +162,13 @@ def with_features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
     def dense(batches):
         facts = WordFacts(sent.value)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 500_000):
                 made = [features_of(t, facts) for t in part.column("text").to_pylist()]
                 columns = [part.column(c) for c in kept] + [pa.array(made, pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, "features"])
+        # The worker lives on for other tasks; what this one held goes back.
+        facts.clear()
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(dense, schema)
 
