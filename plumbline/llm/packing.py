@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from plumbline.llm.common import encoder, slices, stored, texts_of, tokenizer_path
 
 CAPACITY = 4096
-# Nodes of one branch-and-bound search; beyond them its incumbent stands.
+# Nodes of one branch-and-bound search; a table of sums ends longer ones with the same filling.
 NODES = 3_000
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids binary, part int, place bigint"
 
@@ -59,13 +59,42 @@ def token_pieces(
     return stored(texts_of(docs, id_col, text_col).mapInArrow(cut, PIECE), "token-pieces", "zstd")
 
 
+def filling_from_sums(room: int, lengths: list[int], counts: dict[int, int]) -> list[tuple[int, int]]:
+    """What ``best_filling`` returns, from the sums that the shorter lengths can reach.
+
+    The sums are bits of one integer for each length, so the table has ``room`` bits
+    times the number of lengths. Walked from the longest length down, most copies first.
+    """
+    lengths = lengths[: bisect_right(lengths, room)]
+    reached, whole = [1], (1 << room + 1) - 1
+    for size in lengths:
+        sums, more, step = reached[-1], min(counts[size], room // size), 1
+        while more:
+            step = min(step, more)
+            sums |= sums << step * size & whole
+            more -= step
+            step *= 2
+        reached.append(sums)
+    total, out = reached[-1].bit_length() - 1, []
+    for below, size in zip(reached[-2::-1], reversed(lengths)):
+        most = min(counts[size], total // size)
+        k = next(k for k in range(most, -1, -1) if below >> total - k * size & 1)
+        if k:
+            out.append((size, k))
+            total -= k * size
+    return out
+
+
 def best_filling(room: int, lengths: list[int], counts: dict[int, int], nodes: int = NODES) -> list[tuple[int, int]]:
     """The lengths, with how many of each, that leave the least of ``room``.
 
     Depth first from long to short, most copies of a length first, so the first
-    leaf is the best-fit incumbent. Only undominated fillings count: a branch ends
-    when nothing more fits, and is left when even the rest of its lengths could not
-    bring its waste below the incumbent's. No waste ends the search.
+    leaf is the best-fit incumbent. A branch ends when nothing more fits, and is
+    left when even the rest of its lengths could not bring its waste below the
+    incumbent's. No waste ends the search. Of fillings with the least waste the one
+    with the longest lengths is met first and stands, so that no other dominates it:
+    joining pieces of a filling to longer ones gives one that is met before it. A
+    search of more than ``nodes`` nodes is ended by the table, whose filling is the same.
     """
     best, best_waste, left = [], room, nodes
     chosen: list[tuple[int, int]] = []
@@ -102,7 +131,7 @@ def best_filling(room: int, lengths: list[int], counts: dict[int, int], nodes: i
         return total_below[at]
 
     search(room, len(lengths))
-    return best
+    return filling_from_sums(room, lengths, counts) if best_waste and left <= 0 else best
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> dict[str, np.ndarray]:
