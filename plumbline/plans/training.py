@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.operators.features import SEED, add_class_weights
+from plumbline.plans.binning import MAX_BINS, binned_features
 from plumbline.sources.artifacts import load_saved, save_model
 
 # Iterations, trees, trees per block.
@@ -38,13 +39,13 @@ def train_baseline(train: DataFrame, max_iter: int = ITERATIONS, c: float = 1.0)
 
 def _forest(trees: int, seed: int, max_depth: int) -> RandomForestClassifier:
     return RandomForestClassifier(
-        numTrees=trees, seed=seed, maxDepth=max_depth, featureSubsetStrategy="sqrt", weightCol="weight"
+        numTrees=trees, seed=seed, maxDepth=max_depth, maxBins=MAX_BINS, featureSubsetStrategy="sqrt", weightCol="weight"
     )
 
 
 def train_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, max_depth: int = 10):
     """Random forest; class and sample weights both apply, so the weight is squared."""
-    return _forest(trees, seed, max_depth).fit(add_class_weights(train, "label", power=2))
+    return _forest(trees, seed, max_depth).fit(add_class_weights(binned_features(train), "label", power=2))
 
 
 def class_probabilities(column: str = "probability"):
@@ -102,7 +103,7 @@ def train_forest_blocks(
     number of trees, depth and seed, for as many features and classes. From the
     first that does not, blocks are grown anew.
     """
-    weighted = add_class_weights(train, "label", power=2)
+    weighted = None
     width = _feature_count(train)
     classes = int(train.agg(F.max("label")).first()[0]) + 1
     models: list[RandomForestClassificationModel] = []
@@ -122,6 +123,8 @@ def train_forest_blocks(
             continue
         # Blocks after a missing or unusable one are grown anew.
         resume = False
+        if weighted is None:
+            weighted = add_class_weights(binned_features(train), "label", power=2)
         models.append(_forest(size, seed + i, max_depth).fit(weighted))
         save_model(models[-1], path)
     return ForestBlocks(models)
@@ -138,9 +141,11 @@ def load_forest_blocks(folder: str) -> ForestBlocks:
 
 
 def train_tree(train: DataFrame, seed: int = SEED, max_depth: int = 10):
-    return DecisionTreeClassifier(seed=seed, maxDepth=max_depth).fit(train)
+    return DecisionTreeClassifier(seed=seed, maxDepth=max_depth, maxBins=MAX_BINS).fit(binned_features(train))
 
 
 def train_boosted(train: DataFrame, rounds: int = 20, seed: int = SEED, max_depth: int = 5):
     """Boosted trees, one binary model per class."""
-    return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=max_depth, seed=seed)).fit(train)
+    return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=max_depth, maxBins=MAX_BINS, seed=seed)).fit(
+        binned_features(train)
+    )
