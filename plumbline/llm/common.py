@@ -7,7 +7,8 @@ import re
 import sys
 import types
 from collections.abc import Callable
-from itertools import chain, islice
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow.compute as pc
@@ -65,8 +66,11 @@ class WordEncoder:
     Both vocabularies here split a text at white space before they merge, so a
     text's ids are those of its pieces, a piece being a word with the white space
     before it (``keep_space``) or a word alone. A worker keeps the ids of the first
-    ``CACHE`` pieces it meets, which are the frequent ones; the library encodes all
-    others anew, thousands in one text with a mark between them. Texts with a
+    ``CACHE`` pieces it encodes twice, which are the frequent ones; the library encodes
+    all others anew, thousands in one text. Most are Latin letters with or without a
+    sign or two behind them, which the library tells apart, so signs are looked up and
+    letters are encoded without its expressions and normalisers; where a word ends is
+    seen by its ids. Other pieces have a mark between them. Texts with a
     special token's string or a control character that may be mistaken, where this
     would not hold, are given to the library whole.
 
@@ -77,6 +81,11 @@ class WordEncoder:
     # Entries of about 200 bytes each.
     CACHE = 500_000
     LONGEST = 64
+    # Hashes of pieces that were encoded once: bytes, of which two pieces may share one.
+    SEEN = 1 << 22
+    # Latin-1 letters, which are the same composed, and in lower case in Python as in the library.
+    WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]{1,64})([.,;:!?)]{0,3})").fullmatch
+    TRIAL = "the Of dÉjà Straße x ÀÿÞ QUITE internationalisation zzqxj"
     MARK = "\x01"
     ODD = re.compile("[\x01\x1c-\x1f]").search
     # White space other than blanks and line breaks.
@@ -94,6 +103,43 @@ class WordEncoder:
         self.between = f" {self.MARK}" if keep_space else f" {self.MARK} "
         *self.before, self.mark = self._whole([self.between])[0]
         self.cache: dict[str, bytes] = {}
+        self.seen = bytearray(self.SEEN)
+        self.signs: dict[str, bytes] = {"": b""}
+        self.plain, self.edge = self._plain(path)
+        words = self.TRIAL.split(" ")
+        trial = self._letters(words if keep_space else [w.lower() for w in words])
+        # Vocabularies that do not split in this way have all pieces marked.
+        self.simple = trial is not None and trial == [self._bytes(self._whole([" " + w if keep_space else w])[0]) for w in words]
+
+    def _plain(self, path: str):
+        """The same model for letters with blanks between, and which ids are a word's first (``keep_space``) or last."""
+        from tokenizers import Tokenizer, pre_tokenizers as P
+
+        plain = Tokenizer.from_file(path)
+        plain.normalizer = None
+        blanks = P.Split(" ", "merged_with_next" if self.keep_space else "removed")
+        plain.pre_tokenizer = P.Sequence([blanks, P.ByteLevel(add_prefix_space=False, use_regex=False)])
+        edge = np.zeros(1 + max(plain.get_vocab().values()), bool)
+        for token, i in plain.get_vocab().items():
+            edge[i] = token[0] == "Ġ" if self.keep_space else token.endswith("</w>")
+        return plain, edge
+
+    def _letters(self, words: list[str]) -> list[bytes] | None:
+        """Ids of words of letters, or none if the ids do not tell the words apart."""
+        joined = " ".join(words)
+        found = self.plain.encode_batch_fast([" " + joined if self.keep_space else joined], add_special_tokens=False)
+        ids = np.asarray(found[0].ids, self.dtype)
+        at = np.flatnonzero(self.edge[ids])
+        if len(at) != len(words):
+            return None
+        cuts = [*at.tolist(), len(ids)] if self.keep_space else [0, *(at + 1).tolist()]
+        raw, width = ids.tobytes(), ids.itemsize
+        return [raw[a * width : b * width] for a, b in zip(cuts, cuts[1:])]
+
+    def _signs(self, signs: str) -> bytes:
+        if signs not in self.signs:
+            self.signs[signs] = self._bytes(self._whole([signs])[0])
+        return self.signs[signs]
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -118,7 +164,48 @@ class WordEncoder:
         return names
 
     def _encode(self, names: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, each by itself."""
+        """Ids of pieces, each by itself, and of the words of letters in them."""
+        if not self.simple:
+            return self._marked(names)
+        out, odd, split, fresh = {}, [], [], {}
+        match, known, folded = self.WORD, self.cache.get, not self.keep_space
+        for n in names:
+            m = match(n)
+            if m is None:
+                odd.append(n)
+                continue
+            word, signs = m.groups()
+            if folded:
+                word = word.lower()
+            if word == n:
+                fresh[n] = None
+                continue
+            split.append((n, word, signs))
+            ids = known(word)
+            if ids is None:
+                fresh[word] = None
+            else:
+                out[word] = ids
+        if fresh:
+            out.update(zip(fresh, self._letters(list(fresh)), strict=True))
+        for n, word, signs in split:
+            out[n] = out[word] + self._signs(signs) if signs else out[word]
+        if odd:
+            out.update(self._marked(odd))
+        return out
+
+    def _keep(self, found: dict[str, bytes]) -> None:
+        """Pieces that were met before are kept while there is room."""
+        seen, mask = self.seen, self.SEEN - 1
+        for n, ids in found.items():
+            at = hash(n) & mask
+            if not seen[at]:
+                seen[at] = 1
+            elif len(n) <= self.LONGEST and len(self.cache) < self.CACHE:
+                self.cache[n] = ids
+
+    def _marked(self, names: list[str]) -> dict[str, bytes]:
+        """Ids of any pieces."""
         out = {}
         together = [n for n in names if n[0] != self.MARK]
         if together:
@@ -143,8 +230,9 @@ class WordEncoder:
         named = [[] if w else self.pieces(t) for t, w in zip(texts, whole)]
         names = list(chain.from_iterable(named))
         ids = list(map(self.cache.get, names))
-        missing = [i for i, x in enumerate(ids) if x is None]
-        fresh = list(dict.fromkeys([names[i] for i in missing]))
+        # Pieces without ids are looked up anew.
+        missing = list(compress(range(len(ids)), map(not_, ids)))
+        fresh = list(dict.fromkeys(map(names.__getitem__, missing)))
         found: dict[str, bytes] = {}
         for i in range(0, len(fresh), 4096):
             found.update(self._encode(fresh[i : i + 4096]))
@@ -154,9 +242,8 @@ class WordEncoder:
         for t, w, ps in zip(texts, whole, named):
             out.append(self._bytes(self._whole([t])[0]) if w else b"".join(ids[at : at + len(ps)]))
             at += len(ps)
-        room = self.CACHE - len(self.cache)
-        if room > 0:
-            self.cache.update(islice(((n, x) for n, x in found.items() if len(n) <= self.LONGEST), room))
+        if len(self.cache) < self.CACHE:
+            self._keep(found)
         return out
 
 
