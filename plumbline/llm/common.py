@@ -67,12 +67,13 @@ class WordEncoder:
     text's ids are those of its pieces, a piece being a word with the white space
     before it (``keep_space``) or a word alone. A worker keeps the ids of the first
     ``CACHE`` pieces it encodes twice, which are the frequent ones; the library encodes
-    all others anew, thousands in one text. Most are Latin letters with or without a
-    sign or two behind them, which the library tells apart, so signs are looked up and
-    letters are encoded without its expressions and normalisers; where a word ends is
-    seen by its ids. Other pieces have a mark between them. Texts with a
-    special token's string or a control character that may be mistaken, where this
-    would not hold, are given to the library whole.
+    all others anew, thousands in one text. Most are Latin letters with or without
+    signs behind them and a line break before, which the library tells apart, so signs
+    are looked up and letters are given to its model as the vocabulary spells their
+    bytes, without expressions and normalisers; where a word ends is seen by its ids.
+    Other pieces have a mark between them. Texts with a special token's string or a
+    control character that may be mistaken, where this would not hold, are given to
+    the library whole.
 
     Pieces go by short names: a word that one space precedes, or a line break and
     the word after it, is its own name; any other has ``MARK`` before it.
@@ -84,12 +85,14 @@ class WordEncoder:
     # Hashes of pieces that were encoded once: bytes, of which two pieces may share one.
     SEEN = 1 << 22
     # Latin-1 letters, which are the same composed, and in lower case in Python as in the library.
-    WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]{1,64})([.,;:!?)]{0,3})").fullmatch
+    WORD = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]{1,64})([].,;:!?)}\"*%#$&|<>]{0,3})").fullmatch
+    # What both vocabularies write for the bytes of these letters that are no printable Latin-1 character.
+    SPELT = np.array([0x122 + b - 0x80 if 0x80 <= b <= 0xA0 else 0x143 if b == 0xAD else b for b in range(256)], "<u2")
     TRIAL = "the Of dÉjà Straße x ÀÿÞ QUITE internationalisation zzqxj"
     MARK = "\x01"
-    ODD = re.compile("[\x01\x1c-\x1f]").search
+    ODD = "\x01\x1c\x1d\x1e\x1f"
     # White space other than blanks and line breaks.
-    RARE = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+    RARE = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
     RUNS = ("  ", " \n", "\n ", "\n\n")
 
     def __init__(self, path: str, dtype: str, keep_space: bool):
@@ -110,24 +113,31 @@ class WordEncoder:
         trial = self._letters(words if keep_space else [w.lower() for w in words])
         # Vocabularies that do not split in this way have all pieces marked.
         self.simple = trial is not None and trial == [self._bytes(self._whole([" " + w if keep_space else w])[0]) for w in words]
+        if keep_space:
+            self.simple &= self._begun(words) == [self._bytes(self._whole(["\n" + w])[0]) for w in words]
 
     def _plain(self, path: str):
-        """The same model for letters with blanks between, and which ids are a word's first (``keep_space``) or last."""
+        """The same model for spelt words with blanks between, and which ids are a word's first (``keep_space``) or last."""
         from tokenizers import Tokenizer, pre_tokenizers as P
 
         plain = Tokenizer.from_file(path)
         plain.normalizer = None
-        blanks = P.Split(" ", "merged_with_next" if self.keep_space else "removed")
-        plain.pre_tokenizer = P.Sequence([blanks, P.ByteLevel(add_prefix_space=False, use_regex=False)])
+        plain.pre_tokenizer = P.CharDelimiterSplit(" ")
         edge = np.zeros(1 + max(plain.get_vocab().values()), bool)
         for token, i in plain.get_vocab().items():
             edge[i] = token[0] == "Ġ" if self.keep_space else token.endswith("</w>")
         return plain, edge
 
+    def _spelt(self, words: str) -> str:
+        """Letters as the vocabulary spells their bytes."""
+        return words if words.isascii() else self.SPELT[np.frombuffer(words.encode(), "u1")].tobytes().decode("utf-16-le")
+
     def _letters(self, words: list[str]) -> list[bytes] | None:
         """Ids of words of letters, or none if the ids do not tell the words apart."""
-        joined = " ".join(words)
-        found = self.plain.encode_batch_fast([" " + joined if self.keep_space else joined], add_special_tokens=False)
+        joined = self._spelt(" ".join(words))
+        if self.keep_space:
+            joined = "Ġ" + joined.replace(" ", " Ġ")
+        found = self.plain.encode_batch_fast([joined], add_special_tokens=False)
         ids = np.asarray(found[0].ids, self.dtype)
         at = np.flatnonzero(self.edge[ids])
         if len(at) != len(words):
@@ -136,6 +146,11 @@ class WordEncoder:
         raw, width = ids.tobytes(), ids.itemsize
         return [raw[a * width : b * width] for a, b in zip(cuts, cuts[1:])]
 
+    def _begun(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters with a line break before each."""
+        found = self.plain.encode_batch_fast(self._spelt(" ".join(words)).split(), add_special_tokens=False)
+        return [self._signs("\n") + self._bytes(e.ids) for e in found]
+
     def _signs(self, signs: str) -> bytes:
         if signs not in self.signs:
             self.signs[signs] = self._bytes(self._whole([signs])[0])
@@ -156,7 +171,7 @@ class WordEncoder:
         """Names of the pieces of a text without control characters."""
         if not self.keep_space:
             return text.split()
-        plain = text and text[0] not in " \n" and text[-1] not in " \n" and not self.RARE(text)
+        plain = text and text[0] not in " \n" and text[-1] not in " \n" and not any(c in text for c in self.RARE)
         if not plain or any(r in text for r in self.RUNS):
             return [self._named(p) for p in self.find(text)]
         names = text.replace("\n", " \n").split(" ")
@@ -167,16 +182,19 @@ class WordEncoder:
         """Ids of pieces, each by itself, and of the words of letters in them."""
         if not self.simple:
             return self._marked(names)
-        out, odd, split, fresh = {}, [], [], {}
+        out, odd, split, begun, fresh = {}, [], [], [], {}
         match, known, folded = self.WORD, self.cache.get, not self.keep_space
         for n in names:
             m = match(n)
             if m is None:
                 odd.append(n)
                 continue
-            word, signs = m.groups()
+            line, word, signs = m.groups()
             if folded:
                 word = word.lower()
+            if line:
+                begun.append((n, word, signs))
+                continue
             if word == n:
                 fresh[n] = None
                 continue
@@ -190,6 +208,8 @@ class WordEncoder:
             out.update(zip(fresh, self._letters(list(fresh)), strict=True))
         for n, word, signs in split:
             out[n] = out[word] + self._signs(signs) if signs else out[word]
+        for (n, _, signs), ids in zip(begun, self._begun([word for _, word, _ in begun])):
+            out[n] = ids + self._signs(signs)
         if odd:
             out.update(self._marked(odd))
         return out
@@ -226,7 +246,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian bytes of the given type."""
-        whole = [bool(self.ODD(t)) or any(s in t for s in self.special) for t in texts]
+        apart = [*self.ODD, *self.special]
+        whole = [any(s in t for s in apart) for t in texts]
         named = [[] if w else self.pieces(t) for t, w in zip(texts, whole)]
         names = list(chain.from_iterable(named))
         ids = list(map(self.cache.get, names))
