@@ -28,10 +28,25 @@ SYMBOLS = "#*$%&|<>"
 TOKEN = r"[0-9a-z\x{80}-\x{10FFFF}]+|[!-/:-@\[-`{-~]+"
 
 
+def tokens_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+
+
 def grams_of(text: Column) -> Column:
-    """Hashes of all unigrams and bigrams of the lower-cased tokens."""
-    tokens = F.transform(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
-    return once(tokens, lambda t: F.concat(t, paired(t, 1)))
+    """Hashes of all unigrams and bigrams of the lower-cased tokens, as one array."""
+    return once(F.transform(tokens_of(text), lambda t: F.xxhash64(t)), lambda t: F.concat(t, paired(t, 1)))
+
+
+def gram_rows(rows: DataFrame, *names: str) -> DataFrame:
+    """The hashes of ``grams_of``, a row of ``names, one, two`` for each token of ``text``: its own, and that of it and the next.
+
+    Tokens are hashed where they are rows, in generated code; the last has no next (null).
+    """
+    after = F.slice("tokens", 2, F.greatest(F.size("tokens"), F.lit(1)))
+    both = F.arrays_zip(F.col("tokens").alias("token"), after.alias("next"))
+    pairs = rows.select(*names, tokens_of(F.col("text")).alias("tokens")).select(*names, F.inline(both))
+    two = F.when(F.col("next").isNotNull(), F.xxhash64(F.xxhash64("token"), F.xxhash64("next")))
+    return pairs.select(*names, F.xxhash64("token").alias("one"), two.alias("two"))
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -79,7 +94,7 @@ def trusted_texts(rows: DataFrame, good: DataFrame) -> DataFrame:
 
 def slot_counts(texts: DataFrame) -> DataFrame:
     """``slot, n``: n-grams in each slot, summed per task before the shuffle."""
-    grams = texts.select(F.explode(grams_of(F.col("text"))).alias("gram"))
+    grams = gram_rows(texts).select(F.explode(F.array("one", "two")).alias("gram")).where("gram is not null")
     return grams.groupBy(slot_of(F.col("gram")).alias("slot")).agg(F.count("*").alias("n"))
 
 
@@ -104,9 +119,12 @@ def mean_ratios(rows: DataFrame, ratios: Column) -> DataFrame:
     is read, and sums are all that is shuffled. Rows equal in id and text add to the
     same sum and count, which leaves the mean.
     """
-    grams = rows.select("doc_id", "tie", F.explode(grams_of(F.col("text"))).alias("gram"))
-    found = grams.select("doc_id", "tie", F.get(ratios, slot_of(F.col("gram")).cast("int")).alias("ratio"))
-    sums = found.groupBy("doc_id", "tie").agg(F.sum("ratio").alias("total"), F.count("*").alias("n"))
+
+    def ratio(name: str) -> Column:
+        return F.coalesce(F.get(ratios, slot_of(F.col(name)).cast("int")), F.lit(0))
+
+    grams = gram_rows(rows, "doc_id", "tie").withColumn("ratio", ratio("one") + ratio("two"))
+    sums = grams.groupBy("doc_id", "tie").agg(F.sum("ratio").alias("total"), (F.count("one") + F.count("two")).alias("n"))
     return sums.select("doc_id", "tie", (F.col("total") / F.col("n") / UNIT).alias("score"))
 
 
