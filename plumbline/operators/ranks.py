@@ -2,10 +2,11 @@
 
 Two building blocks:
 
-``order_statistics`` maps values to 64-bit integers of the same order and finds each
-wanted rank by counting rows by the integers' leading bits: four counts, each within
-the prefixes the one before has found, for all groups and ranks together. Tables of
-counts are all that is shuffled, and how values are distributed does not matter.
+``order_statistics`` finds each wanted rank by counting rows by cells: first by parts
+of octaves, then by equal parts between the least and the greatest value of the cells
+that hold a rank, and by value where a cell has few rows, until each rank has one value:
+two or three counts as a rule, five at most, for all groups and ranks together. Tables
+of counts are all that is shuffled, and how values are distributed does not matter.
 
 ``running_totals`` sorts by range partitions, stores the partition number, and
 adds the totals of the earlier partitions, so a global cumulative sum is spread
@@ -20,9 +21,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.session import broadcast_checked, cut_lineage
 
-# Leading bits that one count tells apart, and the bits of an order key.
-DIGIT_BITS = 16
-KEY_BITS = 64
+# Cells of an octave in the first count, and parts of a cell that a later count tells apart.
+STEPS = 16
+CELLS = 2**16
 
 
 def melt(df: DataFrame, columns: list[str], data_type: str, keep: list[str] | None = None) -> DataFrame:
@@ -64,11 +65,21 @@ def double_key(x: Column) -> Column:
     return F.when(F.isnan(x), None).when(x < 0, -key).otherwise(key)
 
 
-def _small(df: DataFrame, bounded: bool) -> DataFrame:
-    """A table that the next count reads, and that is not computed again."""
+def octave_cell(x: Column) -> Column:
+    """A number that never falls where doubles rise: their sign and a ``STEPS``-th of an octave."""
+    place = F.floor(F.log2(F.abs(x)) * STEPS)
+    # The least double is 2^-1074, and infinity, here the greatest bigint, is put beyond all others.
+    place = F.least(place, F.lit(1025 * STEPS)) + 1075 * STEPS
+    return F.when(x == 0, 0.0).otherwise(F.signum(x) * place)
+
+
+def _small(df: DataFrame, bounded: bool) -> tuple[DataFrame, bool]:
+    """A table that the next count reads, and that is not computed again, and if all its cells have one value."""
     if bounded:
-        return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema))
-    return broadcast_checked(cut_lineage(df, "order-statistics"))
+        rows = df.collect()
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), not any(r["lo"] < r["hi"] for r in rows)
+    df = cut_lineage(df, "order-statistics")
+    return broadcast_checked(df), df.where("lo < hi").isEmpty()
 
 
 def order_statistics(
@@ -84,9 +95,10 @@ def order_statistics(
     by = by or []
     keys = [f"g{i}" for i in range(len(by))]
     base = df.select(*[F.col(f"`{b}`").alias(k) for b, k in zip(by, keys)], F.col(f"`{value}`").alias("v"))
-    whole = base.schema["v"].dataType.typeName() in ("byte", "short", "integer", "long")
-    key = F.col("v").cast("bigint") if whole else double_key(F.col("v").cast("double"))
-    base = base.where(F.col("v").isNotNull()).withColumn("key", key).where(F.col("key").isNotNull())
+    base = base.where(F.col("v").isNotNull())
+    if base.schema["v"].dataType.typeName() in ("float", "double"):
+        base = base.where(~F.isnan("v"))
+    base = base.withColumn("cell", octave_cell(F.col("v").cast("double")))
     wanted = F.array(
         *[
             F.struct(F.lit(i).alias("target"), F.lit(side).alias("side"), rank(F.col("n")).cast("bigint").alias("rank"))
@@ -94,39 +106,50 @@ def order_statistics(
             for side, rank in enumerate(pair)
         ]
     )
-    facts = [*keys, "n", "target", "side"]
-    state = None
-    for below in range(KEY_BITS - DIGIT_BITS, -1, -DIGIT_BITS):
-        prefix = F.shiftright("key", below)
-        if state is None:
-            rows, group = base.withColumn("head", F.lit(0).cast("bigint")), keys
-        else:
-            group = [*keys, "head"]
-            heads = F.broadcast(state.select(*group).distinct()) if bounded else state.select(*group).distinct()
-            same = [F.shiftright("b.key", below + DIGIT_BITS) == F.col("t.head"), *_match("b", "t", keys)]
-            rows = base.alias("b").join(heads.alias("t"), reduce(Column.__and__, same)).select("b.*", "t.head")
-        last = [F.min("v").alias("value")] if below == 0 else []
-        counts = rows.groupBy(*group, prefix.alias("prefix")).agg(F.count("*").alias("c"), *last)
+    ends = [F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+
+    def placed(counts: DataFrame, group: list[str], order: list[str]) -> DataFrame:
         # No more rows to a group than one count tells apart.
-        ordered = Window.partitionBy(*group).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("before", F.coalesce(F.sum("c").over(ordered), F.lit(0)))
-        kept = ["value"] if below == 0 else []
-        if state is None:
-            found = counts.withColumn("n", F.sum("c").over(Window.partitionBy(*keys)))
-            found = found.select(*keys, "n", "prefix", "c", "before", *kept, F.inline(wanted))
-        else:
-            found = counts.alias("b").join(state.alias("t"), reduce(Column.__and__, _match("b", "t", group)))
-            found = found.select(*[f"t.{c}" for c in [*facts, "rank"]], *[f"b.{c}" for c in ["prefix", "c", "before", *kept]])
+        earlier = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumn("before", F.coalesce(F.sum("c").over(earlier), F.lit(0)))
+
+    def holding(found: DataFrame) -> tuple[DataFrame, bool]:
         found = found.where(F.expr("rank >= before and rank < before + c"))
         left = (F.col("rank") - F.col("before")).alias("rank")
-        state = found.select(*facts, left, F.col("prefix").alias("head"), *kept)
-        if below:
-            state = _small(state, bounded)
+        return _small(found.select(*keys, "n", "target", "side", left, "cell", "c", "lo", "hi"), bounded)
+
+    counts = placed(base.groupBy(*keys, "cell").agg(*ends), keys, ["cell"])
+    counts = counts.withColumn("n", F.sum("c").over(Window.partitionBy(*keys)))
+    found, done = holding(counts.select(*keys, "n", "cell", "c", "lo", "hi", "before", F.inline(wanted)))
+    out = found.where("lo = hi")
+    while not done:
+        state = found.where("lo < hi")
+        group = [*keys, "cell", "lo", "hi"]
+        heads = state.select(*group, F.col("c").alias("rows")).distinct()
+        heads = F.broadcast(heads) if bounded else heads
+        same = _match("b", "t", [*keys, "cell"]) + [F.col("b.v").between(F.col("t.lo"), F.col("t.hi"))]
+        rows = base.alias("b").join(heads.alias("t"), reduce(Column.__and__, same))
+        # Ends differ and have one sign, so that the first and the last part are different ones.
+        part = (F.col("v") - F.col("t.lo")).cast("double") / (F.col("t.hi") - F.col("t.lo")).cast("double")
+        rows = rows.select(
+            *[F.col(f"t.{g}").alias(f"in_{g}") for g in group],
+            "v",
+            F.floor(part * CELLS).alias("part"),
+            F.when(F.col("rows") <= CELLS, F.col("v")).alias("exact"),
+        )
+        within = [F.col(f"b.in_{g}").eqNullSafe(F.col(f"t.{g}")) for g in group]
+        group = [f"in_{g}" for g in group]
+        counts = placed(rows.groupBy(*group, "part", "exact").agg(*ends), group, ["part", "exact"])
+        found = counts.alias("b").join(state.alias("t"), reduce(Column.__and__, within)).select(
+            *[f"t.{x}" for x in [*keys, "n", "target", "side", "rank", "cell"]], *[f"b.{x}" for x in ["c", "lo", "hi", "before"]]
+        )
+        found, done = holding(found)
+        out = out.unionByName(found.where("lo = hi"))
 
     def at(side: int) -> Column:
-        return F.max(F.when(F.col("side") == side, F.col("value")))
+        return F.max(F.when(F.col("side") == side, F.col("lo")))
 
-    out = state.groupBy(*keys, "target", "n").agg(at(0).alias("low"), at(1).alias("high"))
+    out = out.groupBy(*keys, "target", "n").agg(at(0).alias("low"), at(1).alias("high"))
     return out.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], "target", "n", "low", "high")
 
 
