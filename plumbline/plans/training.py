@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plumbline.operators.features import SEED, add_class_weights
 from plumbline.plans.binning import MAX_BINS, binned_features
+from plumbline.plans.forest import prefers_sparse, sparse_forest
 from plumbline.sources.artifacts import load_saved, save_model
 
 # Iterations, trees, trees per block.
@@ -43,9 +44,16 @@ def _forest(trees: int, seed: int, max_depth: int) -> RandomForestClassifier:
     )
 
 
+def _grown(weighted: DataFrame, trees: int, seed: int, max_depth: int) -> RandomForestClassificationModel:
+    """Spark's forest, or the same one from sparse rows where Spark's would be far larger than those."""
+    forest = _forest(trees, seed, max_depth)
+    width = _feature_count(weighted)
+    return sparse_forest(forest, weighted, width) if prefers_sparse(weighted, width) else forest.fit(weighted)
+
+
 def train_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, max_depth: int = 10):
     """Random forest; class and sample weights both apply, so the weight is squared."""
-    return _forest(trees, seed, max_depth).fit(add_class_weights(binned_features(train), "label", power=2))
+    return _grown(add_class_weights(binned_features(train), "label", power=2), trees, seed, max_depth)
 
 
 def class_probabilities(column: str = "probability"):
@@ -125,7 +133,7 @@ def train_forest_blocks(
         resume = False
         if weighted is None:
             weighted = add_class_weights(binned_features(train), "label", power=2)
-        models.append(_forest(size, seed + i, max_depth).fit(weighted))
+        models.append(_grown(weighted, size, seed + i, max_depth))
         save_model(models[-1], path)
     return ForestBlocks(models)
 
