@@ -5,7 +5,7 @@ from __future__ import annotations
 from math import isnan, sqrt
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -203,19 +203,25 @@ def hashed_slots(tokens: list[Column], slots: int = HASH_SLOTS) -> tuple[Column,
 def _sparse(size: int):
     """Sums each row's signs per slot into a sparse vector, a batch at a time."""
 
-    @F.pandas_udf(VectorUDT())
-    def build(slots: pd.Series, signs: pd.Series) -> pd.DataFrame:
-        if slots.empty:
-            return pd.DataFrame({"type": [], "size": [], "indices": [], "values": []})
-        slot, sign = np.stack(slots), np.stack(signs)
+    @F.arrow_udf(VectorUDT())
+    def build(slots: pa.Array, signs: pa.Array) -> pa.Array:
+        rows = len(slots)
+        columns = len(slots.flatten()) // max(rows, 1)
+        slot, sign = (x.flatten().to_numpy().reshape(rows, columns) for x in (slots, signs))
         order = slot.argsort(axis=1, kind="stable")
         slot, sign = np.take_along_axis(slot, order, 1), np.take_along_axis(sign, order, 1)
         first = np.ones(slot.shape, dtype=bool)
         first[:, 1:] = slot[:, 1:] != slot[:, :-1]
         sums = np.bincount(first.ravel().cumsum() - 1, weights=sign.ravel())
-        ends = first.sum(axis=1).cumsum()[:-1]
-        return pd.DataFrame(
-            {"type": 0, "size": size, "indices": np.split(slot[first], ends), "values": np.split(sums, ends)}
+        ends = pa.array(np.concatenate([[0], first.sum(axis=1).cumsum()]), pa.int32())
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(np.zeros(rows), pa.int8()),
+                pa.array(np.full(rows, size), pa.int32()),
+                pa.ListArray.from_arrays(ends, pa.array(slot[first], pa.int32())),
+                pa.ListArray.from_arrays(ends, pa.array(sums, pa.float64())),
+            ],
+            names=["type", "size", "indices", "values"],
         )
 
     return build

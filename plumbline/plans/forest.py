@@ -26,7 +26,7 @@ from plumbline.session import cut_lineage, scratch_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes of Spark's rows from which sparse ones are used, and how much narrower they must be.
-DENSE_BYTES = 512 * 2**20
+DENSE_BYTES = 2**30
 NARROWER = 16
 # Bounds of a worker's tables: bytes of a batch of rows and of the nodes' features, and counts held before they are added up.
 BATCH_BYTES = 2**24
